@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-FLAGSHIP = "scan_quality_decisions"
+from .plans import geometry, planning, sampling, series, streams, training  # noqa: F401  (they register their queries)
+from .plans.registry import QUERIES, SQL
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+FLAGSHIP = "scan_quality_decisions"
 
 
 def queries():
