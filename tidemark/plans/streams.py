@@ -1 +1,69 @@
-"""To come."""
+"""Streams over the event table, each with the batch result as its reference."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.stats import r6
+from ..streaming import jobs
+from .registry import query
+
+
+def _events(spark, sf):
+    return jobs.read(spark, sf, "events.parquet")
+
+
+@query("SELECT time_bucket(INTERVAL '1 day', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def stream_tumbling_windows(spark, sf):
+    out = jobs.run(jobs.tumbling(_utc(_events(spark, sf)), "at", "1 day", ["event_type"], "7 days"), "complete")
+    return out.select(_clock("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+def _utc(e):
+    """at: the clock time as an instant, through seconds and so whatever the session's zone."""
+    from ..sources.tables import micros
+
+    return e.withColumn("at", F.timestamp_micros(micros(F.col("ts"))))
+
+
+def _clock(column):
+    """The instant's UTC clock time as TIMESTAMP_NTZ."""
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(column) / 1000000).cast("decimal(18,6)")))
+
+
+@query("""WITH d AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '6 hours' THEN 0 ELSE 1 END AS b FROM events), g AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM d)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL '6 hours' AS "end", count(*) AS n FROM g GROUP BY user_id, g""")
+def stream_sessions(spark, sf):
+    out = jobs.run(jobs.sessions(_utc(_events(spark, sf)), "at", "6 hours", "user_id", "7 days"), "complete")
+    return out.select("user_id", _clock("start").alias("start"), _clock("end").alias("end"), "n")
+
+
+@query("SELECT user_id, round(arg_max(value, (ts, event_id)), 6) AS value, arg_max(event_type, (ts, event_id)) AS event_type, count(*) AS n FROM events GROUP BY user_id")
+def stream_live_view(spark, sf):
+    e = _events(spark, sf).groupBy("user_id").agg(F.max_by(F.struct("value", "event_type"), F.struct("ts", "event_id")).alias("l"), F.count(F.lit(1)).alias("n"))
+    return jobs.run(e, "complete").select("user_id", r6(F.col("l.value")).alias("value"), F.col("l.event_type").alias("event_type"), "n")
+
+
+@query("SELECT event_id, user_id, CASE WHEN event_type = 'error' THEN 'error' WHEN value > 95 THEN 'warning' ELSE 'info' END AS severity FROM events WHERE event_type = 'error' OR value > 95")
+def stream_issue_rows(spark, sf):
+    e = _events(spark, sf).filter("event_type = 'error' OR value > 95").dropDuplicates(["event_id"])
+    severity = F.when(F.col("event_type") == "error", "error").when(F.col("value") > 95, "warning").otherwise("info")
+    return jobs.run(e.select("event_id", "user_id", severity.alias("severity")))
+
+
+@query("SELECT event_id, round(value, 6) AS value FROM events ORDER BY events.value DESC, event_id LIMIT 20")
+def stream_bounded_topk(spark, sf):
+    """Each batch keeps its 20 best; the 20 best of those are the result, whatever the number of batches."""
+
+    def sink(batch, k, path):
+        batch.select("event_id", "value").orderBy(F.col("value").desc(), "event_id").limit(20).write.mode("overwrite").parquet(f"{path}/batch={k}")
+
+    out = jobs.run(_events(spark, sf), sink=sink)
+    return out.orderBy(F.col("value").desc(), "event_id").limit(20).select("event_id", r6(F.col("value")).alias("value"))
+
+
+@query("""SELECT user_id, count(*) AS n, epoch_us(max(ts)) AS last FROM events GROUP BY user_id""")
+def stream_ordered_fold(spark, sf):
+    e = _utc(_events(spark, sf)).select("user_id", "at")
+    out = jobs.run(jobs.ordered_fold(e, "user_id", "at"), sink=lambda batch, k, path: batch.write.mode("append").parquet(path))
+    return out.groupBy("user_id").agg(F.max("n").alias("n"), F.max("last").alias("last"))
