@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import geometry, planning, sampling, series, streams, training  # noqa: F401  (they register their queries)
+from .plans import extra, geometry, planning, sampling, series, streams, training  # noqa: F401  (they register their queries)
 from .plans.registry import QUERIES, SQL
 
 FLAGSHIP = "scan_quality_decisions"

@@ -81,7 +81,7 @@ def group_reports_worst(spark, sf):
 
 
 @query("""SELECT d.doc_id, CASE WHEN l.quality IS NOT NULL THEN 'human' WHEN source = 'src3' THEN 'teacher' WHEN n_chars < 300 THEN 'programmatic' ELSE 'none' END AS source,
-round(CASE WHEN l.quality IS NOT NULL THEN l.quality WHEN source = 'src3' THEN 0.8 WHEN n_chars < 300 THEN 0.2 END, 6) AS value, CASE WHEN l.quality IS NOT NULL THEN 1.0 WHEN source = 'src3' THEN 0.25 WHEN n_chars < 300 THEN 0.1 ELSE 0.0 END::DOUBLE AS weight FROM documents d LEFT JOIN labels l USING (doc_id)""")
+CAST(CASE WHEN l.quality IS NOT NULL THEN l.quality WHEN source = 'src3' THEN 0.8 WHEN n_chars < 300 THEN 0.2 END AS DOUBLE) AS value, CASE WHEN l.quality IS NOT NULL THEN 1.0 WHEN source = 'src3' THEN 0.25 WHEN n_chars < 300 THEN 0.1 ELSE 0.0 END::DOUBLE AS weight FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def label_precedence(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.col("source").alias("s"), "n_chars").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     chosen = labels.precedence([("human", F.col("quality"), F.lit(1.0)), ("teacher", F.when(F.col("s") == "src3", 0.8), F.lit(0.25)), ("programmatic", F.when(F.col("n_chars") < 300, 0.2), F.lit(0.1))])
