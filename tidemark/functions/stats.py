@@ -18,8 +18,8 @@ def percentile(value, q: float) -> Column:
 
 def wilson(successes, total, z: float = 1.959963984540054) -> tuple[Column, Column]:
     """Bounds of the Wilson score interval, null without trials."""
-    n = total.cast("double")
-    p = successes.cast("double") / F.when(total > 0, n)
+    n = F.when(total > 0, total.cast("double"))
+    p = successes.cast("double") / n
     d = 1 + z * z / n
     centre = (p + z * z / (2 * n)) / d
     half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / d
