@@ -112,7 +112,7 @@ def anchor_rows(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for b in (p for batch in batches for p in parts(batch)):
+        for b in (p for batch in batches for p in parts(batch, "text", SEGMENT // 2)):
             whole = Batch(b.column("text"))
             n = len(whole.raw)
             pieces = [(whole, 0)]
