@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.stats import ratio, wilson
+from .ranking import running_sums
 
 
 def confusion(p: Column, label: Column, threshold) -> dict[str, Column]:
@@ -55,10 +56,8 @@ def calibration(scored: DataFrame, bins: int, p: str = "p", label: str = "label"
 def select_threshold(scored: DataFrame, target: float, p: str = "p", label: str = "label") -> DataFrame:
     """One row at most: the observed score whose precision has its lower bound at target or above, with most recall, then
     the best bound, then the least threshold."""
-    s = by_score(scored, [], p, label)
-    total = s.agg(F.sum("pos").alias("positives"))
-    down = W.orderBy(F.col(p).desc()).rowsBetween(W.unboundedPreceding, 0)
-    s = s.withColumn("selected", F.sum("n").over(down)).withColumn("tp", F.sum("pos").over(down)).crossJoin(F.broadcast(total))
+    s = by_score(scored, [], p, label).withColumn("_down", -F.col(p))
+    s = running_sums(s, {"selected": "n", "tp": "pos"}, "_down").withColumnRenamed("tp_total", "positives")
     s = s.withColumn("lower", wilson(F.col("tp"), F.col("selected"))[0]).withColumn("recall", ratio(F.col("tp"), F.col("positives")))
     return s.filter(F.col("lower") >= target).orderBy(F.col("recall").desc(), F.col("lower").desc(), F.col(p)).limit(1).select(F.col(p).alias("threshold"), "selected", "tp", "recall", "lower")
 

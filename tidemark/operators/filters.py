@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quaternion
+from .ranking import global_rank
 from .runs import fold
 
 
@@ -71,9 +72,7 @@ def balanced_groups(sizes: DataFrame, item: str, load: str, workers: int) -> Dat
     """item, worker: the largest loads are dealt first, to and fro over the workers (0 1 2 2 1 0 ...), which keeps the sums
     close without a serial heap; places come from a range-partitioned sort.
     """
-    from ..plans.planning import _global_rank
-
-    placed = _global_rank(sizes.withColumn("_desc", -F.col(load)), "_desc", item)
+    placed = global_rank(sizes.withColumn("_desc", -F.col(load)), "_desc", item)
     k = (F.col("place") - 1) % (2 * workers)
     return placed.select(item, load, F.when(k < workers, k).otherwise(2 * workers - 1 - k).cast("int").alias("worker"))
 

@@ -34,3 +34,23 @@ def balanced(df: DataFrame, flag: str, identity: str, seed, n: int) -> DataFrame
     ranked = df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n)
     ranked = ranked.withColumn("_late", (F.col("_n") > F.when(F.col(flag), n // 2).otherwise(n - n // 2)).cast("int"))
     return ranked.orderBy("_late", "_n", F.col(flag).desc()).limit(n).drop("_n", "_late")
+
+
+def running_sums(df: DataFrame, sums: dict[str, str], *order) -> DataFrame:
+    """df with running sums (new name -> column) in the total order of rows, and their totals as <name>_total.
+
+    Sums within range partitions plus those of the partitions before: a total order without a task that holds all rows.
+    What is collected for the offsets has a row a partition.
+    """
+    parted = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    w = W.partitionBy("_p").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    local = parted.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
+    parts = parted.groupBy("_p").agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
+    before, everything = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1), W.partitionBy()
+    parts = parts.select("_p", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums], *[F.sum(f"_{n}").over(everything).alias(f"{n}_total") for n in sums])
+    return local.join(F.broadcast(parts), "_p").withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_p", *[f"_{n}" for n in sums])
+
+
+def global_rank(df: DataFrame, *order) -> DataFrame:
+    """df with place (from 1) in the total order, and total: the number of rows."""
+    return running_sums(df.withColumn("_one", F.lit(1).cast("bigint")), {"place": "_one"}, *order).withColumnRenamed("place_total", "total").drop("_one")

@@ -136,7 +136,7 @@ def bounded_topk_priority(spark, sf):
 def quantile_bin_sample(spark, sf):
     # bins of equal rank without a global sort of rows in one task: places come from a range-partitioned sort
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    placed = _global_rank(o, "o_totalprice", "o_orderkey")
+    placed = ranking.global_rank(o, "o_totalprice", "o_orderkey")
     n, big = F.col("total"), F.col("total") % 5
     small = F.floor(n / 5)
     edge = big * (small + 1)
@@ -144,16 +144,6 @@ def quantile_bin_sample(spark, sf):
     return ranking.top_k(placed.withColumn("bin", bin_.cast("bigint")), ["bin"], 8, hashing.rank(F.col("o_orderkey"), 3)).select("o_orderkey", "bin")
 
 
-def _global_rank(df, *order):
-    """df with place (from 1) in the total order and total: row numbers within range partitions plus the sizes of those
-    before, so that no task holds more than a partition."""
-    parted = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    local = parted.withColumn("_k", F.row_number().over(W.partitionBy("_p").orderBy(*order)))
-    sizes = parted.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # a row a partition
-    sizes = sizes.select("_p", F.coalesce(F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(W.partitionBy()).alias("total"))
-    return local.join(F.broadcast(sizes), "_p").withColumn("place", F.col("_k") + F.col("_before")).drop("_p", "_k", "_before")
-
-
 @query("""WITH c AS (SELECT quantile_cont(o_totalprice, 0.67) AS hi, quantile_cont(o_totalprice, 0.2) AS lo FROM orders WHERE o_orderstatus <> 'P')
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'blocked' WHEN o_totalprice >= hi THEN 'clean' WHEN o_totalprice <= lo THEN 'hard_negative' ELSE 'review' END AS tier FROM orders, c""")
 def quantile_tiers(spark, sf):
