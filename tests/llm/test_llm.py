@@ -150,6 +150,24 @@ def test_pitman_yor_is_a_distribution():
     assert np.allclose(one, 0.25)
 
 
+def test_spelling_is_a_distribution():
+    words = [w.encode() for w in VOCABULARY] * 2
+    keys, counts = np.unique(op2_lm.spelled(words, 3)[0], return_counts=True)
+    model = op2_lm.Spelling(keys, counts, 3, 6, 3, 1)
+    for context in (b"", b"a", b"alno", b"xyz", "ç".encode()):
+        digits = [256, 256, 256, *context][-3:]
+        base = sum(x * op2_lm.SYMBOLS ** (3 - i) for i, x in enumerate(digits))
+        assert model.probabilities(base + np.arange(op2_lm.SYMBOLS)).sum() == pytest.approx(1, abs=0.02)
+    good, bad = model([b"alno", b"qqqq"])
+    assert good > bad
+    assert op2_lm.Spelling(np.zeros(0, np.int64), np.zeros(0, np.int64), 2, 2, 1, 1)([b"a", b""]).shape == (2,)
+
+
+def test_context_skips_rare_words():
+    before, now = op2_lm._pairs(np.array([2, 0, 2, 2, 1]), np.array([0, 4, 4, 5]), 3)
+    assert now.tolist() == [2, 0, 2, 2, 3, 3, 1, 3] and before.tolist() == [3, 3, 0, 0, 0, 3, 3, 1]
+
+
 def test_seating():
     rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 50, 10**6])
