@@ -6,9 +6,10 @@ of the first collection, and only those that share one are expanded by the secon
 saves most of their rows. Two sets with Jaccard 0.8 share no table with probability 2 * 0.36 ** 14 = 1.2e-6.
 
 Equal sets are one class from the start. Tables with the same members count once. In each table all members are verified
-on their full sets against two of its members; after the components of these links, whatever still lies apart within a
-table is verified pair by pair. So no link between classes that meet in a table is lost, and groups of near copies cost
-one pair a member instead of all pairs. Everything is a join or an aggregation that combines before it shuffles.
+on their full sets against the one that meets most others, so groups of near copies cost one pair a member instead of all
+pairs. Documents that share a table and still lie in different components meet once more on their rarest shingles, an
+exact condition for the threshold, and only those pairs are verified. So no link between classes that meet in a table is
+lost. Everything is a join or an aggregation that combines before it shuffles.
 
 Null and empty texts have empty sets, link with nothing and are kept. Rows without doc_id link with nothing: null
 component, kept. Rows that repeat a doc_id are one document as to links. Other columns pass through unread.
@@ -18,11 +19,16 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Batch, cut, mix, ngram_hash, parts, word_hashes
 
 
+#: Bits of a set's parity bitmap.
+BITS = 1024
+
+
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text's word hashes; fewer words than width make one shingle."""
     if 0 < len(words) < width:
@@ -31,7 +37,7 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int, halves: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, f1, f2 (fingerprint of the set), mins (2 * halves * rows minhashes, none for an empty set)."""
+    """doc_id, n_shingles, f1, f2 (fingerprint of the set), mins (2 * halves * rows minhashes, none for an empty set), bits."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     k = 2 * halves * rows
     mult = np.random.default_rng(51).integers(1, 2**63, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -46,17 +52,30 @@ def signatures(docs: DataFrame, width: int, halves: int, rows: int) -> DataFrame
             full = np.flatnonzero(n)
             mins = np.zeros((len(full), k), np.int32)
             f = np.zeros((2, b.num_rows), np.int64)
+            parity = np.zeros((len(full), BITS), np.uint8)
             if len(full):
                 flat = np.concatenate([sets[i] for i in full])
                 at = np.concatenate([[0], np.cumsum(n[full])[:-1]])
                 for c in range(k):
                     mins[:, c] = (np.minimum.reduceat(flat * mult[c] ^ (flat >> np.uint64(29)) * mult[c - 1], at) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                np.bitwise_xor.at(parity, (np.repeat(np.arange(len(full)), n[full]), (flat & np.uint64(BITS - 1)).astype(np.int64)), 1)
                 f[0, full] = np.add.reduceat(mix(flat ^ np.uint64(0xA5A5)), at).view(np.int64)
                 f[1, full] = np.bitwise_xor.reduceat(mix(flat + np.uint64(77)), at).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((n > 0) * k)]).astype(np.int32)), pa.array(mins.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(f[0]), pa.array(f[1]), lists], ["doc_id", "n_shingles", "f1", "f2", "mins"])
+            packed = pa.array(np.packbits(parity, axis=1).view(np.int64).reshape(-1))
+            bits = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((n > 0) * (BITS // 64))]).astype(np.int32)), packed)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(f[0]), pa.array(f[1]), lists, bits], ["doc_id", "n_shingles", "f1", "f2", "mins", "bits"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, f1 long, f2 long, mins array<int>, bits array<long>")
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, f1 long, f2 long, mins array<int>")
+
+def near_enough(x: str, y: str, percent: int) -> Column:
+    """Whether two sets can be at the threshold: each shingle flips one of BITS bits, so the bits in which the sets differ
+    are at most the shingles in which they do. x, y: prefixes of columns n and bits."""
+    n = F.col(f"{x}n") + F.col(f"{y}n")
+    differ = sum(F.bit_count(F.get(f"{x}bits", F.lit(k)).bitwiseXOR(F.get(f"{y}bits", F.lit(k)))) for k in range(BITS // 64))
+    fits = F.least(f"{x}n", f"{y}n") * 100 >= F.greatest(f"{x}n", f"{y}n") * percent
+    return fits & (differ * (100 + percent) <= n * (100 - percent))
 
 
 def _halves(first: int, halves: int, rows: int) -> Column:
@@ -64,16 +83,24 @@ def _halves(first: int, halves: int, rows: int) -> Column:
 
 
 def tables(classes: DataFrame, halves: int, rows: int) -> DataFrame:
-    """t, x, c1, c2: the members x of each distinct table with two members or more, and two of its members."""
+    """t, x, weight: the members x of each distinct table of two or more; weight: members times the tables with the same ones."""
     first = classes.select(F.col("rep").alias("x"), F.explode(_halves(0, halves, rows)).alias("a"))
     shared = first.join(first.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a"), "a")
     second = classes.select(F.col("rep").alias("x"), _halves(halves, halves, rows).alias("b"))
     keyed = shared.join(second, "x").select("x", "a", F.explode("b").alias("b")).select("x", F.xxhash64("a", "b").alias("t"))
-    each = keyed.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("x")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(9), "x")).alias("h2"), F.min("x").alias("c1"), F.min_by("x", F.xxhash64("x")).alias("c2"))
-    distinct = each.filter("n > 1").groupBy("n", "h1", "h2").agg(F.min("t").alias("t"), F.first("c1").alias("c1"), F.first("c2").alias("c2")).select("t", "c1", "c2")
+    each = keyed.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("x")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(9), "x")).alias("h2"))
+    distinct = each.filter("n > 1").groupBy("n", "h1", "h2").agg(F.min("t").alias("t"), (F.count(F.lit(1)) * F.col("n")).alias("weight")).select("t", "weight")
     return keyed.join(distinct, "t")
 
 
+def stars(members: DataFrame) -> DataFrame:
+    """x, y: each member beside the member of its table that meets most others over all tables: copies beside what they are
+    copies of."""
+    meets = members.groupBy("x").agg(F.sum("weight").alias("meets"))
+    centre = members.join(meets, "x").groupBy("t").agg(F.max_by("x", F.struct("meets", F.col("x"))).alias("y"))
+    return members.join(centre, "t").filter("x <> y").select("x", "y").distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (x, y) with 100 * intersection >= percent * union of their full sets."""
     joined = pairs.join(texts.select(F.col("doc_id").alias("x"), F.col("text").alias("tx")), "x")
@@ -101,6 +128,41 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return joined.mapInArrow(run, f"x {kind}, y {kind}").distinct()
 
 
+def rare_pairs(texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
+    """x, y of different comp, among the documents of sizes (doc_id, n, bits, comp), that share a rare shingle where every pair at
+    the threshold must: the rarest shingles of a set come first, and similar sets agree on one of the first few.
+
+    A pair with the larger set x has an intersection of percent of n(x) at least, so x can miss that many shingles less
+    one before one must be in y; and y likewise, with 2 t / (1 + t) of its own size.
+    """
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in (p for batch in batches for p in parts(batch)):
+            words, bounds = word_hashes(Batch(b.column("text")))
+            sets = [shingles(words[i:j], width) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+            at = pa.array(np.repeat(np.arange(b.num_rows), [len(s) for s in sets]))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("n").take(at), pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "n", "s"])
+
+    held = texts.join(sizes, "doc_id").select("doc_id", "text", "n").mapInArrow(run, f"doc_id {kind}, n long, s long")
+    often = held.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    w = W.partitionBy("doc_id")
+    ranked = held.join(often, "s").withColumn("k", F.row_number().over(w.orderBy("df", "s")) + F.col("n") - F.count(F.lit(1)).over(w))
+    need = lambda n, a, b: F.floor((n * a + b - 1) / b)  # noqa: E731  ceil(n * a / b)
+    probe = ranked.filter(F.col("k") <= F.col("n") - need(F.col("n"), percent, 100) + 1).select("doc_id", "s", "k")
+    probe = cut(probe.join(sizes, "doc_id"))
+    index = probe.filter(F.col("k") <= F.col("n") - need(F.col("n"), 2 * percent, 100 + percent) + 1)
+    named = lambda df, p: df.select("s", *[F.col(c).alias(f"{p}{c}") for c in ("doc_id", "n", "k", "comp", "bits")])
+    x, y = named(probe, "x"), named(index, "y")
+    larger = (F.col("yn") < F.col("xn")) | ((F.col("yn") == F.col("xn")) & (F.col("ydoc_id") < F.col("xdoc_id")))
+    # what is left from the first common shingle on must reach the intersection that the threshold asks for
+    reach = (F.least(F.col("xn") - F.col("xk"), F.col("yn") - F.col("yk")) + 1) * (100 + percent) >= (F.col("xn") + F.col("yn")) * percent
+    pairs = x.join(y.withColumnRenamed("s", "ys"), (F.col("s") == F.col("ys")) & (F.col("xcomp") != F.col("ycomp")) & larger & reach & near_enough("x", "y", percent))
+    return pairs.select(F.col("xdoc_id").alias("x"), F.col("ydoc_id").alias("y")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, comp (smallest node reachable) for the nodes of links (x, y): labels hop along links and along labels."""
     both = cut(links.select("x", "y").union(links.select("y", "x")).distinct())
@@ -120,22 +182,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, halves:
     signed = cut(signatures(docs, width, halves, rows))
     full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     own = ["n_shingles", "f1", "f2"]
-    classes = cut(full.groupBy(*own).agg(F.min("doc_id").alias("rep"), F.first("mins").alias("mins")))
+    classes = cut(full.groupBy(*own).agg(F.min("doc_id").alias("rep"), F.first("mins").alias("mins"), F.first("bits").alias("bits")))
+    known = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), "bits")
     members = cut(tables(classes.select("rep", "mins"), halves, rows))
     ids = members.select(F.col("x").alias("doc_id")).distinct()
     texts = cut(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
-    stars = members.select(F.col("x"), F.col("c1").alias("y")).union(members.select(F.col("x"), F.col("c2").alias("y"))).filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-    links = cut(verified(stars, texts, width, percent))
+    one, two = (known.select(*[F.col(c).alias(f"{p}{c}") for c in known.columns]) for p in ("x", "y"))
+    tried = stars(members).join(one, F.col("x") == F.col("xdoc_id")).join(two, F.col("y") == F.col("ydoc_id"))
+    tried = cut(tried.filter(near_enough("x", "y", percent)).select("x", "y"))
+    links = cut(verified(tried, texts, width, percent))
     labels = components(links)
     placed = members.select("t", "x").join(labels, F.col("x") == F.col("node"), "left").select("t", "x", F.coalesce("comp", "x").alias("comp"))
     apart = placed.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("t")
-    apart = cut(placed.join(apart, "t"))
-    one, two = apart.select("t", "x", F.col("comp").alias("cx")), apart.select("t", F.col("x").alias("y"), F.col("comp").alias("cy"))
-    rest = one.join(two, "t").filter("cx <> cy AND x > y").select("x", "y").distinct().join(stars, ["x", "y"], "left_anti")
+    apart = placed.join(apart, "t").select(F.col("x").alias("doc_id"), "comp").distinct()
+    sizes = cut(apart.join(known, "doc_id").select("doc_id", "n", "bits", "comp"))
+    rest = rare_pairs(texts, sizes, width, percent).join(tried, ["x", "y"], "left_anti").join(tried.select(F.col("x").alias("y"), F.col("y").alias("x")), ["x", "y"], "left_anti")
     links = cut(links.union(verified(rest, texts, width, percent)).union(_shared_ids(full, own)))
     labels = components(links)
     found = classes.select(*own, "rep").join(labels, F.col("rep") == F.col("node"), "left").select(*own, F.coalesce("comp", "rep").alias("component"))
-    out = signed.drop("mins").join(found, own, "left")
+    out = signed.drop("mins", "bits").join(found, own, "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
