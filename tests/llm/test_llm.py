@@ -164,8 +164,9 @@ def test_spelling_is_a_distribution():
 
 
 def test_context_skips_rare_words():
-    before, now = op2_lm._pairs(np.array([2, 0, 2, 2, 1]), np.array([0, 4, 4, 5]), 3)
-    assert now.tolist() == [2, 0, 2, 2, 3, 3, 1, 3] and before.tolist() == [3, 3, 0, 0, 0, 3, 3, 1]
+    end = 2 + op2_lm.ENDINGS
+    before, now = op2_lm._pairs(np.array([2, 0, 5, 2, 1]), np.array([0, 4, 4, 5]), end)
+    assert now.tolist() == [2, 0, 5, 2, end, end, 1, end] and before.tolist() == [end, end, 0, 0, 0, end, end, 1]
 
 
 def test_seating():
