@@ -7,7 +7,7 @@ saves most of their rows. Two sets with Jaccard 0.8 share no table with probabil
 
 Equal sets are one class from the start. Tables with the same members count once. In each table all members are verified
 on their full sets against the one that meets most others, so groups of near copies cost one pair a member instead of all
-pairs. Documents that share a table and still lie in different components meet once more on their rarest shingles, an
+pairs. Documents that share tables and still lie in different components meet once more on their rarest shingles, an
 exact condition for the threshold, and only those pairs are verified. So no link between classes that meet in a table is
 lost. Everything is a join or an aggregation that combines before it shuffles.
 
@@ -93,12 +93,15 @@ def tables(classes: DataFrame, halves: int, rows: int) -> DataFrame:
     return keyed.join(distinct, "t")
 
 
-def stars(members: DataFrame) -> DataFrame:
+def stars(members: DataFrame, most: int) -> DataFrame:
     """x, y: each member beside the member of its table that meets most others over all tables: copies beside what they are
-    copies of."""
+    copies of. A member takes part in the `most` tables of greatest weight; what stars leave unlinked, rare_pairs() finds.
+    """
     meets = members.groupBy("x").agg(F.sum("weight").alias("meets"))
-    centre = members.join(meets, "x").groupBy("t").agg(F.max_by("x", F.struct("meets", F.col("x"))).alias("y"))
-    return members.join(centre, "t").filter("x <> y").select("x", "y").distinct()
+    best = members.withColumn("k", F.row_number().over(W.partitionBy("x").orderBy(F.col("weight").desc(), "t"))).filter(F.col("k") <= most)
+    best = best.join(meets, "x").select("t", "x", "meets")
+    centre = best.groupBy("t").agg(F.max_by("x", F.struct("meets", F.col("x"))).alias("y"))
+    return best.join(centre, "t").filter("x <> y").select("x", "y").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -188,14 +191,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, halves:
     ids = members.select(F.col("x").alias("doc_id")).distinct()
     texts = cut(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
     one, two = (known.select(*[F.col(c).alias(f"{p}{c}") for c in known.columns]) for p in ("x", "y"))
-    tried = stars(members).join(one, F.col("x") == F.col("xdoc_id")).join(two, F.col("y") == F.col("ydoc_id"))
+    tried = stars(members, halves).join(one, F.col("x") == F.col("xdoc_id")).join(two, F.col("y") == F.col("ydoc_id"))
     tried = cut(tried.filter(near_enough("x", "y", percent)).select("x", "y"))
     links = cut(verified(tried, texts, width, percent))
     labels = components(links)
-    placed = members.select("t", "x").join(labels, F.col("x") == F.col("node"), "left").select("t", "x", F.coalesce("comp", "x").alias("comp"))
-    apart = placed.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("t")
-    apart = placed.join(apart, "t").select(F.col("x").alias("doc_id"), "comp").distinct()
-    sizes = cut(apart.join(known, "doc_id").select("doc_id", "n", "bits", "comp"))
+    placed = ids.join(labels, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp"))
+    sizes = cut(placed.join(known, "doc_id").select("doc_id", "n", "bits", "comp"))
     rest = rare_pairs(texts, sizes, width, percent).join(tried, ["x", "y"], "left_anti").join(tried.select(F.col("x").alias("y"), F.col("y").alias("x")), ["x", "y"], "left_anti")
     links = cut(links.union(verified(rest, texts, width, percent)).union(_shared_ids(full, own)))
     labels = components(links)
