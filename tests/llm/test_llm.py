@@ -422,6 +422,19 @@ def test_leaks_are_found_and_clean_texts_stay(spark):
     assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in [*clean, *half]} | {900, 901}
 
 
+@pytest.mark.parametrize("size", [65, 97, 200, 400, 3000])
+def test_long_items_are_found(spark, size):
+    """Items of many distinct terms, wherever they begin in a text."""
+    long = [" ".join(f"w{i}x{k}" for k in range(size)) + f". The answer {i} is a{i} b{i} c{i}." for i in range(3)]
+    other = " ".join(f"o{k}" for k in range(500))
+    d = spark.createDataFrame([(k, " ".join([*(f"p{x}" for x in range(k)), long[k % 3].upper(), other])) for k in range(0, 64, 7)] + [(100, other), (101, long[0][: size // 3])], "doc_id long, text string")
+    bench = spark.createDataFrame([*enumerate(long), *((10 + i, t) for i, t in items(5))], "item_id long, text string")
+    want = [(k, k % 3) for k in range(0, 64, 7)]
+    for max_items in (2000, 3):
+        assert sorted((r["doc_id"], r["item_id"]) for r in op7_decontaminate.leaks(d, bench, max_items=max_items).collect()) == want
+    assert sorted(r["doc_id"] for r in op7_decontaminate.decontaminate(d, bench).collect()) == [100, 101]
+
+
 def test_leak_edges(spark, empty):
     bench = spark.createDataFrame(items(3), "item_id long, text string")
     assert op7_decontaminate.leaks(empty, bench).count() == 0

@@ -2,7 +2,9 @@
 
 The test items are the indexed side: an inverted index with BM25 impacts, each divided by the item's own score, so that 1
 is a passage that holds the whole item, and one threshold serves all items. Training texts are the queries: every passage
-of `passage` words, a new one each half passage, over the whole of every text. As in block-max WAND, a passage is dropped
+of `passage` words, a new one each half passage, over the whole of every text. An item of more than a passage's words is
+indexed in pieces of at most half a passage, each of which lies whole in some passage of a text that holds it, is scored
+like an item of its own and retrieves the item; its score is that of its best piece. As in block-max WAND, a passage is dropped
 when the sum of its terms' greatest impacts is below the threshold; of the others, only the blocks of items whose block
 maxima reach it are scored, and everything at or above the threshold is retrieved. A retrieved item counts as a leak if
 both its question and its answer (its last sentence, or its second half if it has one sentence) overlap with the
@@ -43,30 +45,37 @@ def _hashes(texts: list[str]) -> list[np.ndarray]:
     return [words[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+def pieces(words: np.ndarray, passage: int) -> list[np.ndarray]:
+    """What is indexed of an item: all its words if a passage can hold them, else even pieces of at most half a passage."""
+    return [words] if len(words) <= passage else np.array_split(words, -(-len(words) // max(1, passage // 2)))
+
+
 class Index:
-    """Terms (sorted hashes), postings with normalised impacts, and the greatest impact of each term in each block of items."""
+    """Terms (sorted hashes), postings with normalised impacts, and the greatest impact of each term in each block of pieces."""
 
-    def __init__(self, items: list[tuple], run: int, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, items: list[tuple], run: int, k1: float = 1.2, b: float = 0.75, passage: int = 64):
         items = [(i, t) for i, t in items if t and t.strip()]
         words = _hashes([t for _, t in items])
         self.ids = [i for i, w in zip(items, words, strict=True) if len(w)]
         self.ids, words, texts = [i for i, _ in self.ids], [w for w in words if len(w)], [t for (_, t), w in zip(items, words, strict=True) if len(w)]
         n = len(words)
         self.terms = np.unique(np.concatenate(words)) if n else np.zeros(0, np.uint64)
-        mean = np.mean([len(w) for w in words]) if n else 1.0
-        pairs = [np.unique(np.searchsorted(self.terms, w), return_counts=True) for w in words]
-        df = np.bincount(np.concatenate([p[0] for p in pairs]), minlength=len(self.terms)) if n else np.zeros(0)
+        df = np.bincount(np.searchsorted(self.terms, np.concatenate([np.unique(w) for w in words])), minlength=len(self.terms)) if n else np.zeros(0)
+        cut_up = [pieces(w, passage) for w in words]
+        self.owner = np.repeat(np.arange(n), [len(x) for x in cut_up])  # the item of each piece
+        mean = np.mean([len(w) for x in cut_up for w in x]) if n else 1.0
+        pairs = [np.unique(np.searchsorted(self.terms, w), return_counts=True) for x in cut_up for w in x]
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
         impacts = [idf[t] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * tf.sum() / mean)) for t, tf in pairs]
         term = np.concatenate([p[0] for p in pairs]) if n else np.zeros(0, np.int64)
-        item = np.repeat(np.arange(n), [len(p[0]) for p in pairs])
+        piece = np.repeat(np.arange(len(pairs)), [len(p[0]) for p in pairs])
         weight = np.concatenate([x / x.sum() for x in impacts]) if n else np.zeros(0)
-        order = np.lexsort((item, term))
-        self.item, self.weight = item[order], weight[order]
+        order = np.lexsort((piece, term))
+        self.piece, self.weight = piece[order], weight[order]
         self.first = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
-        self.blocks = -(-n // BLOCK)
+        self.blocks = -(-len(pairs) // BLOCK)
         self.block_max = np.zeros((len(self.terms), max(1, self.blocks)), np.float32)
-        np.maximum.at(self.block_max, (term, item // BLOCK), weight.astype(np.float32))
+        np.maximum.at(self.block_max, (term, piece // BLOCK), weight.astype(np.float32))
         self.bound = self.block_max.max(axis=1) if len(self.terms) else np.zeros(0, np.float32)
         halves = [split_item(t) for t in texts]
         self.parts = [tuple((h, ngram_hash(h, min(run, len(h)))) for h in pair) for pair in zip(_hashes([q for q, _ in halves]), _hashes([a for _, a in halves]), strict=True)]
@@ -86,7 +95,7 @@ def overlap(part: tuple[np.ndarray, np.ndarray], doc: np.ndarray) -> float:
 
 
 def retrieve(index: Index, words: np.ndarray, bounds: np.ndarray, passage: int, threshold: float) -> list[tuple[int, int, float]]:
-    """(text, item, best score of its passages) of all items that reach the threshold in some passage."""
+    """(text, item, best score of its passages) of all items with a piece that reaches the threshold in some passage."""
     step = passage // 2
     place = np.searchsorted(index.terms, words)
     place[place == len(index.terms)] = 0
@@ -118,27 +127,40 @@ def retrieve(index: Index, words: np.ndarray, bounds: np.ndarray, passage: int,
     row, term = row[some], term[some]
     count = index.first[term + 1] - index.first[term]
     post = np.repeat(index.first[term] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-    row, item, weight = np.repeat(row, count), index.item[post], index.weight[post]
-    opened = open_blocks[row, item // BLOCK]
-    key, inverse = np.unique(row[opened] * len(index.ids) + item[opened], return_inverse=True)
+    row, piece, weight = np.repeat(row, count), index.piece[post], index.weight[post]
+    opened = open_blocks[row, piece // BLOCK]
+    key, inverse = np.unique(row[opened] * len(index.owner) + piece[opened], return_inverse=True)
     score = np.bincount(inverse, weights=weight[opened], minlength=len(key))
     best: dict[tuple[int, int], float] = {}
     owner = np.searchsorted(base, live, side="right") - 1
     for k, s in zip(key[score >= threshold].tolist(), score[score >= threshold].tolist(), strict=True):
-        pair = int(owner[k // len(index.ids)]), k % len(index.ids)
+        pair = int(owner[k // len(index.owner)]), int(index.owner[k % len(index.owner)])
         best[pair] = max(best.get(pair, 0.0), s)
     return [(d, i, s) for (d, i), s in sorted(best.items())]
 
 
+def _pieces(benchmark: DataFrame, passage: int) -> DataFrame:
+    """n, the number of pieces, of each item."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in (p for batch in batches for p in parts(batch)):
+            words, bounds = word_hashes(Batch(b.column("text")), _GAP)
+            yield pa.RecordBatch.from_arrays([pa.array([len(pieces(words[i:j], passage)) for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.int64())], ["n"])
+
+    return benchmark.select("text").mapInArrow(run, "n long")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, passage: int = 64, threshold: float = 0.4, run: int = 3, question: float = 0.6, answer: float = 0.6, max_items: int = 2000) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap of each leaked item of each document."""
     benchmark = benchmark.select("item_id", "text")
-    passes = max(1, -(-benchmark.count() // max_items))
+    passes = max(1, -(-(_pieces(benchmark, passage).agg(F.sum("n")).first()[0] or 0) // max_items))
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType
     found = None
     for k in range(passes):
         part = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
-        one = _pass(docs, Index([tuple(r) for r in part.collect()], run), kinds, passage, threshold, question, answer)
+        one = _pass(docs, Index([tuple(r) for r in part.collect()], run, passage=passage), kinds, passage, threshold, question, answer)
         found = one if found is None else found.unionByName(one)
     return found
 
