@@ -1,8 +1,9 @@
-"""Line dedup by range-partitioned hashes.
+"""Line dedup by aggregation of range-partitioned hashes.
 
 Lines go out as two 64-bit hashes with their document and position, never as text. They are range-partitioned by (hash,
-document, position), so that one line of a third of all documents spreads over many tasks, and sorted in that order; runs
-are then counted and their first occurrence taken by aggregation, which combines before it shuffles. What comes back per
+document, position), so that one line of a third of all documents spreads over many tasks. Runs aren't streamed from there:
+documents are counted and the first occurrence taken by hash aggregation, which combines before it shuffles (Spark drops the
+sort in front of it), and a join with the lines finds what to drop. What comes back per
 document is a keep bitmap in run-length form: the kept runs as (first line, number of lines).
 
 Null or empty text is one empty line. A key of fewer than min_key_chars code points is never dropped. Rows with the same
