@@ -188,3 +188,41 @@ def test_protected_roots(spark, tmp_path):
         tables.write_derived(spark.range(1), str(tmp_path / "raw" / "x"), [str(tmp_path / "raw")])
     tables.write_derived(spark.range(3), str(tmp_path / "derived"), [str(tmp_path / "raw")])
     assert spark.read.parquet(str(tmp_path / "derived")).count() == 3
+
+
+def test_places_when_partitions_coalesce(spark):
+    """Adaptive coalescing reads ranges in other partitions than it writes them; every row keeps its place."""
+    n = 400_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        df = spark.range(n).select("id", (F.xxhash64("id") % 1000).alias("k"))
+        placed = ranking.global_rank(df, "k", "id")
+        for _ in range(2):
+            r = placed.agg(F.count(F.lit(1)), F.count_distinct("place"), F.min("place"), F.max("place"), F.max("total"), F.sum("id")).first()
+            assert tuple(r) == (n, n, 1, n, n, n * (n - 1) // 2)
+        wrong = placed.join(placed.select((F.col("place") - 1).alias("place"), F.col("k").alias("k2"), F.col("id").alias("id2")), "place").filter("k > k2 OR (k = k2 AND id >= id2)")
+        assert wrong.count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_values_that_dont_fit(spark):
+    df = spark.createDataFrame([(1, 1.0, "7", [1]), (None, 1.5, "x", [1, 2])], "a long, b double, c string, d array<int>")
+    got = {r["column"]: (r["nulls"], r["unfit"]) for r in validation.value_conformance(df, {"a": "int", "b": "int", "c": "int", "d": "array<int>", "e": "int"}, {"d": 2}).collect()}
+    assert got == {"a": (1, 0), "b": (0, 1), "c": (0, 1), "d": (0, 1), "e": (None, None)}
+
+
+def test_ranking_metrics_of_several_keys(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(k, rng.randint(0, 20) / 20, rng.randint(0, 1)) for k in (None, "a", "b") for _ in range(80)]
+    for r in evaluation.ranking_metrics(spark.createDataFrame(rows, "k string, p double, label int"), ["k"]).collect():
+        own = [(p, y) for k, p, y in rows if k == r["k"]]
+        pos, neg = [p for p, y in own if y], [p for p, y in own if not y]
+        assert r["auroc"] == pytest.approx(sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg))
+        hits = [sum(q >= p and y for q, y in own) / sum(q >= p for q, _ in own) for p in pos]
+        assert r["average_precision"] == pytest.approx(sum(hits) / len(hits))

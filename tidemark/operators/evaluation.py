@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.stats import ratio, wilson
@@ -32,15 +33,21 @@ def by_score(scored: DataFrame, keys: list[str], p: str = "p", label: str = "lab
 
 
 def ranking_metrics(scored: DataFrame, keys: list[str], p: str = "p", label: str = "label") -> DataFrame:
-    """keys, auroc (ties half), average_precision (equal scores enter together)."""
-    s = by_score(scored, keys, p, label)
-    down = W.partitionBy(*keys).orderBy(F.col(p).desc()).rowsBetween(W.unboundedPreceding, 0)
-    s = s.withColumn("_n", F.sum("n").over(down)).withColumn("_tp", F.sum("pos").over(down))
+    """keys, auroc (ties half), average_precision (equal scores enter together).
+
+    Running counts go through one total order of (keys, score), in range partitions, less what came before a key's first
+    score: a few keys with many scores still spread over all tasks.
+    """
+    s = by_score(scored, keys, p, label).withColumn("_down", -F.col(p))
+    s = running_sums(s, {"_n": "n", "_tp": "pos"}, *keys, "_down").drop("_n_total", "_tp_total")
     neg = F.col("n") - F.col("pos")
-    below = F.sum(neg).over(W.partitionBy(*keys).orderBy(p).rowsBetween(W.unboundedPreceding, -1))
-    s = s.withColumn("_wins", F.col("pos") * (F.coalesce(below, F.lit(0)) + neg / 2.0))
+    per = s.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.col("_n") - F.col("n")).alias("_n0"), F.min(F.col("_tp") - F.col("pos")).alias("_tp0"), F.sum(neg).alias("_neg"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    s = s.join(per, reduce(Column.__and__, same)) if keys else s.crossJoin(F.broadcast(per))
+    s = s.withColumn("_n", F.col("_n") - F.col("_n0")).withColumn("_tp", F.col("_tp") - F.col("_tp0"))
+    below = F.col("_neg") - (F.col("_n") - F.col("_tp"))
     return s.groupBy(*keys).agg(
-        ratio(F.sum("_wins"), F.sum("pos") * F.sum(neg)).alias("auroc"),
+        ratio(F.sum(F.col("pos") * (below + neg / 2.0)), F.sum("pos") * F.sum(neg)).alias("auroc"),
         ratio(F.sum(F.col("pos") * F.col("_tp") / F.col("_n")), F.sum("pos")).alias("average_precision"),
     )
 
@@ -66,7 +73,8 @@ def cluster_bootstrap(scored: DataFrame, group: str, threshold: float, replicate
     """One row: 2.5 and 97.5 percentiles of precision and recall over replicates that draw groups with replacement.
 
     Groups are summed first. Each (replicate, group) gets a Poisson(1) weight from a hash, so that replicates need no
-    collection of groups and the draw is the same at every partitioning.
+    collection of groups and the draw is the same at every partitioning. So a replicate holds as many groups as there are
+    on average, not exactly, and a group five times at most (more has a probability of 0.0006).
     """
     sums = scored.groupBy(group).agg(*confusion(F.col(p), F.col(label), threshold).values())
     drawn = sums.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import hashing
+from ..sources.shared import cut
 
 
 def top_k(df: DataFrame, strata: list[str], k: int, *order) -> DataFrame:
@@ -40,9 +41,10 @@ def running_sums(df: DataFrame, sums: dict[str, str], *order) -> DataFrame:
     """df with running sums (new name -> column) in the total order of rows, and their totals as <name>_total.
 
     Sums within range partitions plus those of the partitions before: a total order without a task that holds all rows.
-    What is collected for the offsets has a row a partition.
+    The rows are written with the number of their range, so that the sums within ranges and those of whole ranges speak of
+    the same ranges, whatever partitions Spark reads them in. The table of ranges has a row a partition.
     """
-    parted = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    parted = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranges")
     w = W.partitionBy("_p").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     local = parted.withColumns({name: F.sum(c).over(w) for name, c in sums.items()})
     parts = parted.groupBy("_p").agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()])

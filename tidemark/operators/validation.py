@@ -33,5 +33,25 @@ def conformance(df: DataFrame, name: str, declared: dict[str, str]) -> DataFrame
     return df.sparkSession.createDataFrame(rows, "table string, column string, declared string, actual string, status string")
 
 
+def value_conformance(df: DataFrame, declared: dict[str, str], widths: dict[str, int] | None = None) -> DataFrame:
+    """column, declared, nulls, unfit: rows of each declared column that are null, and that don't fit its type without loss
+    (or, of an array column in widths, have another length). Both are null for a column that isn't there. One scan, one
+    aggregation."""
+    widths = widths or {}
+    sums, rows = [], []
+    for k, (name, kind) in enumerate(declared.items()):
+        if name not in df.columns:
+            rows.append(F.struct(F.lit(name).alias("column"), F.lit(kind).alias("declared"), F.lit(None).cast("bigint").alias("nulls"), F.lit(None).cast("bigint").alias("unfit")))
+            continue
+        c = F.col(name)
+        have = df.schema[name].dataType.simpleString()
+        lossless = F.lit(True) if have == kind or kind == "string" else F.coalesce(c.try_cast(kind).try_cast(have).eqNullSafe(c), F.lit(False))
+        fits = lossless & (F.size(c) == widths[name]) if name in widths else lossless
+        sums += [F.count_if(c.isNull()).alias(f"n{k}"), F.count_if(c.isNotNull() & ~fits).alias(f"u{k}")]
+        rows.append(F.struct(F.lit(name).alias("column"), F.lit(kind).alias("declared"), F.col(f"n{k}").alias("nulls"), F.col(f"u{k}").alias("unfit")))
+    counted = df.agg(*sums) if sums else df.sparkSession.range(1)
+    return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
