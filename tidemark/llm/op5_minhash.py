@@ -7,9 +7,9 @@ saves most of their rows. Two sets with Jaccard 0.8 share no table with probabil
 
 Equal sets are one class from the start. Tables with the same members count once. In each table all members are verified
 on their full sets against the one that meets most others, so groups of near copies cost one pair a member instead of all
-pairs. Documents that share tables and still lie in different components meet once more on their rarest shingles, an
-exact condition for the threshold, and only those pairs are verified. So no link between classes that meet in a table is
-lost. Everything is a join or an aggregation that combines before it shuffles.
+pairs. Where a table still holds several components, its members meet once more on their rarest shingles, an exact
+condition for the threshold, and only those pairs are verified. So no link between classes that meet in a table is lost.
+Everything is a join or an aggregation that combines before it shuffles.
 
 Null and empty texts have empty sets, link with nothing and are kept. Rows without doc_id link with nothing: null
 component, kept. Rows that repeat a doc_id are one document as to links. Other columns pass through unread.
@@ -131,12 +131,27 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return joined.mapInArrow(run, f"x {kind}, y {kind}").distinct()
 
 
+def fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, ...) whose doc_id is in ids. Always by a shuffle with a hash table of ids in each partition:
+    ids grow with the corpus, and the texts need no sorting."""
+    return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+
+
+def open_members(members: DataFrame, placed: DataFrame) -> DataFrame:
+    """doc_id of the members of tables that still hold two components and more than the one pair that stars() has tried."""
+    in_comp = members.join(placed.select(F.col("doc_id").alias("x"), "comp"), "x")
+    left = in_comp.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("a"), F.max("comp").alias("z")).filter("n > 2 AND a < z").select("t")
+    return members.join(left, "t").select(F.col("x").alias("doc_id")).distinct()
+
+
 def rare_pairs(texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
-    """x, y of different comp, among the documents of sizes (doc_id, n, bits, comp), that share a rare shingle where every pair at
+    """x, y of different comp, among the documents of sizes (doc_id, n, comp), that share a rare shingle where every pair at
     the threshold must: the rarest shingles of a set come first, and similar sets agree on one of the first few.
 
-    A pair with the larger set x has an intersection of percent of n(x) at least, so x can miss that many shingles less
-    one before one must be in y; and y likewise, with 2 t / (1 + t) of its own size.
+    Shingles whose holders are all of one component can't be shared by such a pair; they count as the rarest and are
+    dropped before anything is joined. A pair with the larger set x has an intersection of percent of n(x) at least, so x
+    can miss that many shingles less one before one must be in y; and y likewise, with 2 t / (1 + t) of its own size.
+    Components meet first, then the documents of two of them, so that documents of one component never face each other.
     """
     kind = texts.schema["doc_id"].dataType.simpleString()
 
@@ -147,25 +162,32 @@ def rare_pairs(texts: DataFrame, sizes: DataFrame, width: int, percent: int) ->
             words, bounds = word_hashes(Batch(b.column("text")))
             sets = [shingles(words[i:j], width) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
             at = pa.array(np.repeat(np.arange(b.num_rows), [len(s) for s in sets]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("n").take(at), pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "n", "s"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("comp").take(at), pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "comp", "s"])
 
-    held = texts.join(sizes, "doc_id").select("doc_id", "text", "n").mapInArrow(run, f"doc_id {kind}, n long, s long")
-    often = held.groupBy("s").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    held = texts.join(sizes.select("doc_id", "comp").hint("shuffle_hash"), "doc_id").select("doc_id", "text", "comp").mapInArrow(run, f"doc_id {kind}, comp {kind}, s long")
+    often = held.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("a"), F.max("comp").alias("z")).filter("a < z").select("s", "df")
+    shared = held.select("doc_id", "s").join(often, "s").join(sizes, "doc_id")
     w = W.partitionBy("doc_id")
-    ranked = held.join(often, "s").withColumn("k", F.row_number().over(w.orderBy("df", "s")) + F.col("n") - F.count(F.lit(1)).over(w))
+    ranked = shared.withColumn("k", F.row_number().over(w.orderBy("df", "s")) + F.col("n") - F.count(F.lit(1)).over(w))
     need = lambda n, a, b: F.floor((n * a + b - 1) / b)  # noqa: E731  ceil(n * a / b)
-    probe = ranked.filter(F.col("k") <= F.col("n") - need(F.col("n"), percent, 100) + 1).select("doc_id", "s", "k")
-    probe = cut(probe.join(sizes, "doc_id"))
+    probe = cut(ranked.filter(F.col("k") <= F.col("n") - need(F.col("n"), percent, 100) + 1).select("s", "doc_id", "n", "k", "comp"))
     index = probe.filter(F.col("k") <= F.col("n") - need(F.col("n"), 2 * percent, 100 + percent) + 1)
-    named = lambda df, p: df.select("s", *[F.col(c).alias(f"{p}{c}") for c in ("doc_id", "n", "k", "comp", "bits")])
-    x, y = named(probe, "x"), named(index, "y")
+    x, y = (df.select("s", *[F.col(c).alias(f"{p}{c}") for c in ("doc_id", "n", "k", "comp")]) for df, p in ((probe, "x"), (index, "y")))
+    comps = x.select("s", "xcomp").distinct().join(y.select("s", "ycomp").distinct(), "s").filter("xcomp <> ycomp")
     larger = (F.col("yn") < F.col("xn")) | ((F.col("yn") == F.col("xn")) & (F.col("ydoc_id") < F.col("xdoc_id")))
     # what is left from the first common shingle on must reach the intersection that the threshold asks for
     reach = (F.least(F.col("xn") - F.col("xk"), F.col("yn") - F.col("yk")) + 1) * (100 + percent) >= (F.col("xn") + F.col("yn")) * percent
-    pairs = x.join(y.withColumnRenamed("s", "ys"), (F.col("s") == F.col("ys")) & (F.col("xcomp") != F.col("ycomp")) & larger & reach & near_enough("x", "y", percent))
+    pairs = comps.join(x, ["s", "xcomp"]).join(y, ["s", "ycomp"]).filter(larger & reach & (F.col("yn") * 100 >= F.col("xn") * percent))
     return pairs.select(F.col("xdoc_id").alias("x"), F.col("ydoc_id").alias("y")).distinct()
 
 
+def like_enough(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) that sizes and bitmaps of known (doc_id, n, bits) don't rule out."""
+    one, two = (known.select(*[F.col(c).alias(f"{p}{c}") for c in known.columns]) for p in ("x", "y"))
+    both = pairs.join(one, F.col("x") == F.col("xdoc_id")).join(two, F.col("y") == F.col("ydoc_id"))
+    return both.filter(near_enough("x", "y", percent)).select("x", "y")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, comp (smallest node reachable) for the nodes of links (x, y): labels hop along links and along labels."""
     both = cut(links.select("x", "y").union(links.select("y", "x")).distinct())
@@ -189,15 +211,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, halves:
     known = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), "bits")
     members = cut(tables(classes.select("rep", "mins"), halves, rows))
     ids = members.select(F.col("x").alias("doc_id")).distinct()
-    texts = cut(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"))
-    one, two = (known.select(*[F.col(c).alias(f"{p}{c}") for c in known.columns]) for p in ("x", "y"))
-    tried = stars(members, halves).join(one, F.col("x") == F.col("xdoc_id")).join(two, F.col("y") == F.col("ydoc_id"))
-    tried = cut(tried.filter(near_enough("x", "y", percent)).select("x", "y"))
+    known = cut(known.join(ids, "doc_id", "left_semi"))
+    texts = cut(fetched(docs.select("doc_id", "text"), ids))
+    tried = cut(like_enough(stars(members, halves), known, percent))
     links = cut(verified(tried, texts, width, percent))
-    labels = components(links)
-    placed = ids.join(labels, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp"))
-    sizes = cut(placed.join(known, "doc_id").select("doc_id", "n", "bits", "comp"))
+    placed = cut(ids.join(components(links), F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp")))
+    sizes = cut(open_members(members, placed).join(placed, "doc_id").join(known.select("doc_id", "n"), "doc_id"))
     rest = rare_pairs(texts, sizes, width, percent).join(tried, ["x", "y"], "left_anti").join(tried.select(F.col("x").alias("y"), F.col("y").alias("x")), ["x", "y"], "left_anti")
+    rest = cut(like_enough(rest, known, percent))
     links = cut(links.union(verified(rest, texts, width, percent)).union(_shared_ids(full, own)))
     labels = components(links)
     found = classes.select(*own, "rep").join(labels, F.col("rep") == F.col("node"), "left").select(*own, F.coalesce("comp", "rep").alias("component"))
