@@ -277,6 +277,33 @@ def test_line_dedup_keeps_the_first(spark):
     assert by_id(op4_lines.drop_lines(d, min_docs=3, keep_first=True), "text") == {1: ("x\na",), 2: ("b",), 3: ("",)}
 
 
+def test_line_dedup_streams_sorted_runs(spark, docs):
+    """One range exchange and one sort feed the window; the plan has no other exchange in front of it."""
+    lines = op4_lines._lines(docs, 1)
+    plan = op4_lines.first_occurrences(lines, 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning(") == 1 and plan.count("Exchange hashpartitioning(") == 0
+    assert plan.count("Sort [") == 1 and "Window [" in plan
+
+
+def test_keep_bitmaps_are_packed(spark):
+    text = "\n".join("x" if k in (0, 63, 64, 200) else f"own{k}" for k in range(300))
+    d = spark.createDataFrame([(1, text), (2, "y\nx"), (3, "z")], "doc_id long, text string")
+    got = {r["doc"]: {x["word"]: x["keep"] & (2**64 - 1) for x in r["bitmap"]} for r in op4_lines.keep_bitmaps(d, min_docs=2).collect()}
+    full = 2**64 - 1
+    assert got == {1: {0: full ^ 1 ^ 1 << 63, 1: full ^ 1, 3: full ^ 1 << 8}, 2: {0: full ^ 2}}
+    assert [r["d"] for r in op4_lines.line_dedup(d, min_docs=2).orderBy("doc_id").select(F.col("_dropped").alias("d")).collect()] == [[0, 63, 64, 200], [1], []]
+
+
+def test_one_line_of_a_third_of_all_rows_is_split(spark):
+    """A hot line lies in several range partitions, and its documents are counted once each."""
+    d = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot\nhot").otherwise(F.concat(F.lit("own"), F.col("id"))).alias("text"))
+    first = op4_lines.first_occurrences(op4_lines._lines(d, 1), 8)
+    spread = first.filter(F.col("h1") == F.xxhash64(F.lit("hot"))).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in spread) == 2000 and len(spread) > 1
+    lost = op4_lines.keep_bitmaps(d, min_docs=2000)
+    assert lost.count() == 2000 and op4_lines.keep_bitmaps(d, min_docs=2001).count() == 0
+
+
 def test_line_dedup_edges(spark, empty, docs):
     assert op4_lines.drop_lines(empty).count() == 0
     d = spark.createDataFrame([(None, "q"), (None, "q"), (5, None), (5, "q"), (5, "r")], "doc_id long, text string").withColumn("doc", F.lit(1)).withColumn("version", F.lit(2))
