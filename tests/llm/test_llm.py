@@ -97,6 +97,23 @@ def test_quality_metrics(docs, rows):
     assert got == {r[0]: base_metrics(r[1]) for r in rows}
 
 
+def test_repeats_of_long_texts(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (2, 3, 4, 40, 3000)] + [" ".join(f"w{k}" for k in range(70_000)), " ".join(f"w{k % 40_000}" for k in range(70_000)), "x " * 50_000]
+    got = by_id(op1_quality.quality_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    assert got == {i: base_metrics(t) for i, t in enumerate(texts)}
+
+
+def test_quality_cascade_skips_rules(spark):
+    """A rule is not evaluated for texts that an earlier one rejects."""
+    boom = op1_quality.Rule("boom", lambda m: F.raise_error(F.lit("evaluated")).isNull())
+    few = op1_quality.Rule("few", lambda m: m("n_words") < 5)
+    d = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    text = F.col("text")
+    verdict = op1_quality._let(op1_quality.words_of(text), lambda w: op1_quality.rejected_by([few, boom], op1_quality.from_words(text, w)))
+    assert [r["v"] for r in d.select(verdict.alias("v")).collect()] == ["few", "few"]
+
+
 def test_quality_order_doesnt_change_the_verdict(spark, docs):
     rules = op1_quality.default_rules(min_words=20)
     kept = {r["doc_id"] for r in op1_quality.quality_filter(docs, rules).collect()}
