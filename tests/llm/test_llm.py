@@ -479,8 +479,9 @@ def test_leaks_are_found_and_clean_texts_stay(spark):
     bench = spark.createDataFrame([*it, (77, None), (78, " ")], "item_id long, text string")
     found = op7_decontaminate.leaks(d, bench)
     assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(i, i) for i in range(20)]
-    small = op7_decontaminate.leaks(d, bench, max_items=7)
-    assert sorted(r["doc_id"] for r in small.collect()) == list(range(20))
+    whole = sorted(map(tuple, found.collect()))
+    for max_items in (1, 7, 20):  # scores are those of the whole benchmark, however it is split
+        assert sorted(map(tuple, op7_decontaminate.leaks(d, bench, max_items=max_items).collect())) == [pytest.approx(r) for r in whole]
     kept = op7_decontaminate.decontaminate(d, bench)
     assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in [*clean, *half]} | {900, 901}
 
@@ -498,6 +499,12 @@ def test_long_items_are_found(spark, size):
     assert sorted(r["doc_id"] for r in op7_decontaminate.decontaminate(d, bench).collect()) == [100, 101]
 
 
+def test_shortest_passages(spark):
+    bench = spark.createDataFrame([(1, "alpha beta. gamma")], "item_id long, text string")
+    d = spark.createDataFrame([(1, "x alpha beta gamma y"), (2, "alpha"), (3, None)], "doc_id long, text string")
+    assert [r["doc_id"] for r in op7_decontaminate.leaks(d, bench, passage=1).collect()] == [1]
+
+
 def test_leak_edges(spark, empty):
     bench = spark.createDataFrame(items(3), "item_id long, text string")
     assert op7_decontaminate.leaks(empty, bench).count() == 0

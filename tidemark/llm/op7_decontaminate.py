@@ -1,32 +1,40 @@
-"""Benchmark decontamination: BM25 with block-max upper bounds, then question and answer overlap.
+"""Benchmark decontamination: BM25 with block-max WAND, then question and answer overlap.
 
 The test items are the indexed side: an inverted index with BM25 impacts, each divided by the item's own score, so that 1
 is a passage that holds the whole item, and one threshold serves all items. Training texts are the queries: every passage
-of `passage` words, a new one each half passage, over the whole of every text. An item of more than a passage's words is
-indexed in pieces of at most half a passage, each of which lies whole in some passage of a text that holds it, is scored
-like an item of its own and retrieves the item; its score is that of its best piece. As in block-max WAND, a passage is dropped
-when the sum of its terms' greatest impacts is below the threshold; of the others, only the blocks of items whose block
-maxima reach it are scored, and everything at or above the threshold is retrieved. A retrieved item counts as a leak if
-both its question and its answer (its last sentence, or its second half if it has one sentence) overlap with the
-document: the share of their words in runs of `run` words that the document has too.
-
-The index is split into as many parts as max_items asks for, each part a pass over the documents, so what is sent to tasks
-is bounded however long the benchmark is. Null or empty texts and items match nothing. Rows are treated one by one, so
-repeated rows give repeated results; null ids pass through. Empty tables give empty results; extra columns are ignored.
+of `passage` words (an even number, 2 at least), a new one each half passage, over the whole of every text. An item of more
+than a passage's words is indexed in pieces of at most half a passage, each of which lies whole in some passage of a text
+that holds it, is scored like an item of its own and retrieves the item; its score is that of its best piece.
+
+A passage is dropped when the sum of its terms' greatest impacts is below the threshold, overall or in each range of pieces;
+that is done for whole batches of passages at once. The others are answered by block-max WAND: cursors on the postings of their terms, in order of pieces; the pivot is the first piece that the greatest
+impacts of the cursors before it can bring to the threshold; it is scored only if the maxima of the posting blocks around it
+can too, and otherwise the cursors skip to where one of these blocks ends. Everything at or above the threshold is
+retrieved. A retrieved item counts as a leak if both its question and its answer (its last sentence, or its second half if
+it has one sentence) overlap with the document: the share of their words in runs of `run` words that the document has too.
+
+Document frequencies, the number of items and the mean length are those of the whole benchmark, counted by Spark. The index
+is split into as many parts as max_items asks for, each part a pass over the documents, so what is sent to tasks is bounded
+however long the benchmark is, and scores don't depend on the parts. Null or empty texts and items match nothing. Rows are
+treated one by one, so repeated rows give repeated results; null ids pass through. Empty tables give empty results; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batch, ngram_hash, parts, word_hashes
+from .common import Batch, cut, ngram_hash, parts, word_hashes
 from .op8_license import _GAP
 
-BLOCK = 8
+#: Postings of a block, and pieces of a range.
+BLOCK, RANGE = 8, 4
 
 
 def split_item(text: str) -> tuple[str, str]:
@@ -50,35 +58,125 @@ def pieces(words: np.ndarray, passage: int) -> list[np.ndarray]:
     return [words] if len(words) <= passage else np.array_split(words, -(-len(words) // max(1, passage // 2)))
 
 
+class Statistics:
+    """What BM25 asks of the whole benchmark: n items, mean length of a piece, df of each term (sorted hashes)."""
+
+    def __init__(self, n: int, mean: float, terms: np.ndarray, df: np.ndarray):
+        self.n, self.mean, self.terms, self.df = n, mean, terms, df
+
+    @classmethod
+    def of(cls, words: list[np.ndarray], passage: int) -> Statistics:
+        terms, df = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True) if words else (np.zeros(0, np.uint64), np.zeros(0))
+        sizes = [len(p) for w in words for p in pieces(w, passage)]
+        return cls(len(words), float(np.mean(sizes)) if sizes else 1.0, terms, df)
+
+
 class Index:
-    """Terms (sorted hashes), postings with normalised impacts, and the greatest impact of each term in each block of pieces."""
+    """Terms (sorted hashes) and their postings: pieces in order with normalised impacts, in blocks of BLOCK postings that each
+    keep their last piece and their greatest impact."""
 
-    def __init__(self, items: list[tuple], run: int, k1: float = 1.2, b: float = 0.75, passage: int = 64):
+    def __init__(self, items: list[tuple], run: int, k1: float = 1.2, b: float = 0.75, passage: int = 64, statistics: Statistics | None = None):
         items = [(i, t) for i, t in items if t and t.strip()]
         words = _hashes([t for _, t in items])
-        self.ids = [i for i, w in zip(items, words, strict=True) if len(w)]
-        self.ids, words, texts = [i for i, _ in self.ids], [w for w in words if len(w)], [t for (_, t), w in zip(items, words, strict=True) if len(w)]
+        self.ids = [i for (i, _), w in zip(items, words, strict=True) if len(w)]
+        words, texts = [w for w in words if len(w)], [t for (_, t), w in zip(items, words, strict=True) if len(w)]
+        whole = statistics or Statistics.of(words, passage)
         n = len(words)
         self.terms = np.unique(np.concatenate(words)) if n else np.zeros(0, np.uint64)
-        df = np.bincount(np.searchsorted(self.terms, np.concatenate([np.unique(w) for w in words])), minlength=len(self.terms)) if n else np.zeros(0)
+        df = whole.df[np.searchsorted(whole.terms, self.terms)]
+        idf = np.log(1 + (whole.n - df + 0.5) / (df + 0.5))
         cut_up = [pieces(w, passage) for w in words]
         self.owner = np.repeat(np.arange(n), [len(x) for x in cut_up])  # the item of each piece
-        mean = np.mean([len(w) for x in cut_up for w in x]) if n else 1.0
         pairs = [np.unique(np.searchsorted(self.terms, w), return_counts=True) for x in cut_up for w in x]
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        impacts = [idf[t] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * tf.sum() / mean)) for t, tf in pairs]
+        impacts = [idf[t] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * tf.sum() / whole.mean)) for t, tf in pairs]
         term = np.concatenate([p[0] for p in pairs]) if n else np.zeros(0, np.int64)
         piece = np.repeat(np.arange(len(pairs)), [len(p[0]) for p in pairs])
         weight = np.concatenate([x / x.sum() for x in impacts]) if n else np.zeros(0)
         order = np.lexsort((piece, term))
         self.piece, self.weight = piece[order], weight[order]
         self.first = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
-        self.blocks = -(-len(pairs) // BLOCK)
-        self.block_max = np.zeros((len(self.terms), max(1, self.blocks)), np.float32)
-        np.maximum.at(self.block_max, (term, piece // BLOCK), weight.astype(np.float32))
-        self.bound = self.block_max.max(axis=1) if len(self.terms) else np.zeros(0, np.float32)
+        blocks = -(-np.diff(self.first) // BLOCK)
+        self.block_first = np.concatenate([[0], np.cumsum(blocks)]).astype(np.int64)
+        starts = np.repeat(self.first[:-1], blocks) + BLOCK * (np.arange(self.block_first[-1]) - np.repeat(self.block_first[:-1], blocks))
+        ends = np.minimum(starts + BLOCK, np.repeat(self.first[1:], blocks))
+        self.block_last = self.piece[ends - 1]
+        self.block_max = np.maximum.reduceat(self.weight, starts) if len(starts) else np.zeros(0)
+        self.bound = np.maximum.reduceat(self.weight, self.first[:-1]) if len(self.terms) else np.zeros(0)
+        # the greatest impact of a term in each range of RANGE pieces that it has
+        of_range = term[order] * (len(pairs) // RANGE + 1) + self.piece // RANGE
+        new = np.flatnonzero(np.concatenate([[True], of_range[1:] != of_range[:-1]])) if n else np.zeros(0, np.int64)
+        self.ranges = len(pairs) // RANGE + 1
+        self.range_of, self.range_max = self.piece[new] // RANGE, np.maximum.reduceat(self.weight, new) if n else np.zeros(0)
+        self.range_first = np.searchsorted(term[order][new], np.arange(len(self.terms) + 1))
         halves = [split_item(t) for t in texts]
         self.parts = [tuple((h, ngram_hash(h, min(run, len(h)))) for h in pair) for pair in zip(_hashes([q for q, _ in halves]), _hashes([a for _, a in halves]), strict=True)]
+        self._lists = None
+
+    def reachable(self, row: np.ndarray, term: np.ndarray, least: float) -> np.ndarray:
+        """For passages 0, 1, ... (row, ascending) with their distinct terms: whether the greatest impacts in some range of
+        pieces add up to least. Some million cells at a time."""
+        size = np.bincount(row)
+        out = np.zeros(len(size), bool)
+        step = max(1, (1 << 21) // self.ranges)
+        cuts = np.concatenate([[0], np.cumsum(size)])
+        for start in range(0, len(size), step):
+            stop = min(len(size), start + step)
+            r, t = row[cuts[start] : cuts[stop]] - start, term[cuts[start] : cuts[stop]]
+            count = self.range_first[t + 1] - self.range_first[t]
+            at = np.repeat(self.range_first[t] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+            upper = np.bincount(np.repeat(r, count) * self.ranges + self.range_of[at], weights=self.range_max[at], minlength=(stop - start) * self.ranges)
+            out[start:stop] = (upper.reshape(-1, self.ranges) >= least).any(axis=1)
+        return out
+
+    def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
+        """(piece, score) of all pieces that the distinct terms of a passage bring to the threshold."""
+        if self._lists is None:
+            self._lists = [x.tolist() for x in (self.piece, self.weight, self.first, self.block_first, self.block_last, self.block_max, self.bound)]
+        piece, weight, first, block_first, block_last, block_max, bound = self._lists
+        # a cursor: its piece, its posting, the end of its postings, its block, the end of its blocks, its term's bound
+        cursors = [[piece[first[t]], first[t], first[t + 1], block_first[t], block_first[t + 1], bound[t]] for t in terms]
+        safe = threshold - 1e-9
+        found = []
+        while cursors:
+            cursors.sort()
+            total, pivot = 0.0, -1
+            for k, c in enumerate(cursors):
+                total += c[5]
+                if total >= safe:
+                    pivot = k
+                    break
+            if pivot < 0:
+                break
+            at = cursors[pivot][0]
+            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == at:
+                pivot += 1
+            near, beyond = 0.0, cursors[pivot + 1][0] if pivot + 1 < len(cursors) else piece[-1] + len(piece)
+            for c in cursors[: pivot + 1]:
+                while c[3] < c[4] and block_last[c[3]] < at:
+                    c[3] += 1
+                if c[3] < c[4]:
+                    near += block_max[c[3]]
+                    beyond = min(beyond, block_last[c[3]] + 1)
+            if near < safe:
+                to = beyond
+            elif cursors[0][0] == at:
+                score = sum(weight[c[1]] for c in cursors[: pivot + 1])
+                if score >= threshold:
+                    found.append((at, score))
+                to = at + 1
+            else:
+                to = at
+            done = False
+            for c in cursors[: pivot + 1]:
+                if c[0] < to:
+                    c[1] = bisect_left(piece, to, c[1], c[2])
+                    if c[1] < c[2]:
+                        c[0] = piece[c[1]]
+                    else:
+                        c[0], done = None, True
+            if done:
+                cursors = [c for c in cursors if c[0] is not None]
+        return found
 
 
 def overlap(part: tuple[np.ndarray, np.ndarray], doc: np.ndarray) -> float:
@@ -119,50 +217,65 @@ def retrieve(index: Index, words: np.ndarray, bounds: np.ndarray, passage: int,
     both = np.concatenate([number[cell], np.where(cell > 0, number[cell - 1], -1)])
     pairs = np.unique((both * len(index.terms) + np.concatenate([term, term]))[both >= 0])  # distinct terms of each passage
     row, term = pairs // len(index.terms), pairs % len(index.terms)
-    at = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    upper = np.add.reduceat(index.block_max[term], at, axis=0)
-    open_blocks = np.zeros((len(live), upper.shape[1]), bool)
-    open_blocks[row[at]] = upper >= threshold - 1e-5
-    some = open_blocks.any(axis=1)[row]
-    row, term = row[some], term[some]
-    count = index.first[term + 1] - index.first[term]
-    post = np.repeat(index.first[term] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-    row, piece, weight = np.repeat(row, count), index.piece[post], index.weight[post]
-    opened = open_blocks[row, piece // BLOCK]
-    key, inverse = np.unique(row[opened] * len(index.owner) + piece[opened], return_inverse=True)
-    score = np.bincount(inverse, weights=weight[opened], minlength=len(key))
+    cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]]))
+    enough = np.flatnonzero(index.reachable(np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)), term, threshold - 1e-9))
+    owner = np.searchsorted(base, live[row[cuts[:-1]]], side="right") - 1
     best: dict[tuple[int, int], float] = {}
-    owner = np.searchsorted(base, live, side="right") - 1
-    for k, s in zip(key[score >= threshold].tolist(), score[score >= threshold].tolist(), strict=True):
-        pair = int(owner[k // len(index.owner)]), int(index.owner[k % len(index.owner)])
-        best[pair] = max(best.get(pair, 0.0), s)
+    for k in enough.tolist():
+        for piece, score in index.wand(term[cuts[k] : cuts[k + 1]].tolist(), threshold):
+            pair = int(owner[k]), int(index.owner[piece])
+            best[pair] = max(best.get(pair, 0.0), score)
     return [(d, i, s) for (d, i), s in sorted(best.items())]
 
 
-def _pieces(benchmark: DataFrame, passage: int) -> DataFrame:
-    """n, the number of pieces, of each item."""
+def _counted(benchmark: DataFrame, passage: int) -> tuple[DataFrame, DataFrame]:
+    """(n_words, n_pieces of each item; term, df over the whole benchmark)."""
 
-    def run(batches):
+    def sizes(batches):
         import pyarrow as pa
 
         for b in (p for batch in batches for p in parts(batch)):
             words, bounds = word_hashes(Batch(b.column("text")), _GAP)
-            yield pa.RecordBatch.from_arrays([pa.array([len(pieces(words[i:j], passage)) for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.int64())], ["n"])
+            n = np.diff(bounds)
+            yield pa.RecordBatch.from_arrays([pa.array(n), pa.array([len(pieces(words[i:j], passage)) for i, j in zip(bounds[:-1], bounds[1:], strict=True)], pa.int64())], ["n_words", "n_pieces"])
 
-    return benchmark.select("text").mapInArrow(run, "n long")
+    def terms(batches):
+        import pyarrow as pa
+
+        for b in (p for batch in batches for p in parts(batch)):
+            words, bounds = word_hashes(Batch(b.column("text")), _GAP)
+            distinct = [np.unique(words[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *distinct]).view(np.int64))], ["term"])
+
+    text = benchmark.select("text")
+    return text.mapInArrow(sizes, "n_words long, n_pieces long"), text.mapInArrow(terms, "term long").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def indexes(benchmark: DataFrame, passage: int, run: int, max_items: int) -> list[Index]:
+    """The index of each part of at most about max_items pieces, with the statistics of the whole benchmark."""
+    sizes, frequency = _counted(benchmark, passage)
+    n, words, n_pieces = sizes.filter("n_words > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_pieces"), F.lit(0))).first()
+    count = max(1, -(-n_pieces // max_items))
+    frequency = cut(frequency) if count > 1 else frequency
+    made = []
+    for k in range(count):
+        part = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
+        own = frequency if count == 1 else frequency.join(_counted(part, passage)[1].select("term"), "term", "left_semi")
+        df = own.toPandas()
+        terms = df["term"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(terms)
+        known = Statistics(n, words / n_pieces if n_pieces else 1.0, terms[order], df["df"].to_numpy(np.int64)[order])
+        made.append(Index([tuple(r) for r in part.collect()], run, passage=passage, statistics=known))
+    return made
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, passage: int = 64, threshold: float = 0.4, run: int = 3, question: float = 0.6, answer: float = 0.6, max_items: int = 2000) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap of each leaked item of each document."""
+    passage = max(2, passage // 2 * 2)
     benchmark = benchmark.select("item_id", "text")
-    passes = max(1, -(-(_pieces(benchmark, passage).agg(F.sum("n")).first()[0] or 0) // max_items))
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType
-    found = None
-    for k in range(passes):
-        part = benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
-        one = _pass(docs, Index([tuple(r) for r in part.collect()], run, passage=passage), kinds, passage, threshold, question, answer)
-        found = one if found is None else found.unionByName(one)
-    return found
+    passes = [_pass(docs, index, kinds, passage, threshold, question, answer) for index in indexes(benchmark, passage, run, max_items)]
+    return reduce(DataFrame.unionByName, passes)
 
 
 def _pass(docs, index, kinds, passage, threshold, question, answer):
