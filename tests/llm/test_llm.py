@@ -265,6 +265,58 @@ def test_cut_is_minimal():
         assert cost([z for z in odds], edges, op3_html.cut(odds, edges)) == pytest.approx(best, abs=2e-3 * n)
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        '<body class="right-sidebar">{}</body>',
+        '<body><div class="single-post has-sidebar">{}</div></body>',
+        "<body><article><section id=legal>{}</section></article></body>",
+        "<body><div class=it's>{}</div></body>",
+        "<article>{}</article><p class=it's>",
+        '<article><a title="a > b">{}</a></article>'.replace("<a ", "<i ").replace("</a>", "</i>"),
+    ],
+)
+def test_no_page_is_lost_to_a_name(html):
+    body = "<p>One paragraph of some length, which ends like this.</p><p>And another paragraph that has a few words more.</p>"
+    assert op3_html.main_text(html.format(body)) == "One paragraph of some length, which ends like this.\n\nAnd another paragraph that has a few words more."
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a x=\"", "<a x=\">\" ", "<", "<!--", "<!", "<script", "</p", "<p>x", "<div>"])
+def test_pages_are_read_in_linear_time(piece):
+    import time
+
+    took = []
+    for n in (20_000, 160_000):
+        began = time.perf_counter()
+        sum(1 for _ in op3_html.tokens(piece * n))
+        took.append(time.perf_counter() - began)
+    assert took[1] < 40 * took[0] + 0.5
+
+
+LOOSE = """<div class="top"><div><a href=1>Home</a></div><div><a href=1>News</a></div><div>Weather <a href=2>today</a></div><div><a href=3>Sport</a></div></div>
+<div><h2>A heading</h2><p>The first paragraph has a good number of words and it ends as sentences do.</p><p>Really</p>
+<p><a href=x>See the report</a></p><p>The next paragraph goes on for a while too, so that nobody can doubt what it is.</p><p>Yes</p>
+<p>And a last paragraph of quite some length closes the matter, as these paragraphs do.</p></div>
+<div class="bottom"><div><a href=4>Imprint</a></div><div>All about us</div><div><a href=5>Contact</a></div></div>"""
+
+
+def test_cut_mends_what_the_classifier_gets_wrong():
+    """On blocks without landmarks the cut changes labels, and more of them are right."""
+    weights = op3_html.fit([PAGE] * 5)
+    found = op3_html.blocks(LOOSE)
+    truth = [4 <= k < 11 for k in range(len(found))]
+    odds = op3_html.odds_of(found, weights)
+    alone = [z > 0 for z in odds]
+    joined = op3_html.cut(odds, op3_html.edges(found))
+    right = lambda x: sum(a == b for a, b in zip(x, truth, strict=True))
+    assert alone != joined and right(joined) > right(alone) and right(joined) >= len(found) - 1
+
+
+def test_classifier_learns_from_landmarks():
+    w = op3_html.fit([PAGE] * 3)
+    assert w[1] < 0 and np.array_equal(op3_html.fit(["<p>no landmark</p>", "", PAGE.split("<nav>")[0]]), op3_html.DEFAULT)
+
+
 def test_extract_edges(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (None, None, None)], "page_id long, url string, html string")
     got = op3_html.extract(pages.withColumn("text", F.lit(1))).collect()
