@@ -187,11 +187,33 @@ def test_context_skips_rare_words():
 
 
 def test_seating():
-    rng = np.random.default_rng(0)
     c = np.array([0, 1, 2, 50, 10**6])
-    many = op2_lm.seat(c, 0.5, np.full(5, 1.0), np.zeros(5, np.int64), np.full(5, 0.9), rng)
-    few = op2_lm.seat(c, 0.05, np.full(5, 1.0), np.zeros(5, np.int64), np.full(5, 1e-6), rng)
+    many = op2_lm.seat(c, 0.5, np.full(5, 1.0), np.zeros(5, np.int64), np.full(5, 0.9), op2_lm.Draws(np.arange(5), 1))
+    few = op2_lm.seat(c, 0.05, np.full(5, 1.0), np.zeros(5, np.int64), np.full(5, 1e-6), op2_lm.Draws(np.arange(5), 2))
     assert (many <= c).all() and (few <= many).all() and few[0] == 0 and (few[1:] >= 1).all()
+    alone = op2_lm.seat(c[3:], 0.5, np.full(2, 1.0), np.zeros(2, np.int64), np.full(2, 0.9), op2_lm.Draws(np.arange(3, 5), 1))
+    assert alone.tolist() == many[3:].tolist()  # a dish draws the same in any company
+
+
+@pytest.mark.parametrize("n, p", [(1, 0.3), (8, 0.02), (40, 0.9), (500, 0.01), (500, 0.4), (9000, 0.999)])
+def test_binomial_draws(n, p):
+    size = 40_000
+    x = op2_lm.Draws(np.arange(size), 7).binomial(np.arange(size), np.full(size, n), np.full(size, p))
+    assert 0 <= x.min() and x.max() <= n
+    spread = math.sqrt(n * p * (1 - p))
+    assert x.mean() == pytest.approx(n * p, abs=5 * spread / math.sqrt(size) + 1e-9) and x.std() == pytest.approx(spread, rel=0.05)
+
+
+def test_lm_scores_are_the_same_at_any_partitioning(spark, docs):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in (4, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got.append(by_id(op2_lm.score(docs.repartition(n), common_bits=6, class_bits=4), "score"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0].keys() == got[1].keys() and all(got[0][i] == pytest.approx(got[1][i], rel=1e-9) for i in got[0])
 
 
 def test_lm_predicts_held_out_text_of_its_language(spark):
@@ -226,8 +248,10 @@ def test_spelling_order_is_the_same_at_any_size(spark):
 
 def test_lm_edges(spark, empty):
     assert op2_lm.score(empty).count() == 0
-    twice = spark.createDataFrame([(None, "a b"), (None, None), (7, "x"), (7, "x")], "doc_id long, text string")
-    assert {r["doc_id"]: r["n_tokens"] for r in op2_lm.score(twice).collect()} == {None: 4, 7: 4}
+    twice = spark.createDataFrame([(None, "a b"), (None, None), (7, "x"), (7, "x"), (7, "y x")], "doc_id long, text string").withColumn("version", F.lit("v")).withColumn("h", F.lit(0))
+    got = op2_lm.score(twice).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in got) == [(0, 1), (0, 3), (7, 2), (7, 2), (7, 3)]
+    assert {r["train_tokens"] for r in got} == {4}  # 7 is held out
 
 
 # ---- 3 ----
