@@ -4,9 +4,10 @@ A text of at most chunk_chars characters is one piece. A longer one is dealt out
 characters of the next, and every chunk is split into pre-tokens from its own start. Pre-tokens depend on nothing to
 their left, so once two neighbours have a boundary in common they agree from there on: the first common boundary in the
 overlap is where the text is cut. Only boundaries after an ASCII character that is no white space count, as white space
-looks ahead, and none at a chunk's ragged end. The pieces between the cuts are encoded in parallel and their ids joined in
-order; decoding joins the tokens' raw bytes. Where two chunks find no common boundary (a run of letters longer than the
-overlap), the text is encoded as one piece.
+looks ahead, and none at a chunk's ragged end. Cuts are found from the boundaries alone, without the texts. The pieces
+between the cuts are encoded in parallel; their ids then stream by in order through one running digest a text, so no task
+holds more of a text than a piece. Decoding joins the tokens' raw bytes. Where two chunks find no common boundary (a run of
+letters longer than the overlap), these two stay one piece, and the rest of the text is cut as before.
 
 Null text counts as empty: no tokens, the digests of no bytes. Rows with the same doc_id and text have equal results, each
 row its own. Null doc_ids pass through. Empty tables give empty results. Extra columns are left out of the digests.
@@ -22,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -105,25 +108,63 @@ def encode_digests(docs: DataFrame, ranks: str | None = None, chunk_chars: int =
     long = docs.filter(F.length("text") > chunk_chars).withColumn("version", F.sha2("text", 256))
     pieces = encode_long(long, path, chunk_chars, overlap)
 
-    def joined(key, frame):
-        ids = [i for part in frame.sort_values("start")["ids"] for i in part]
-        return pd.DataFrame([(*key, *digest(ids, path))], columns=["version", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def digests(batches):
+        import pyarrow as pa
+
+        decimal, own = tables(path)[2], tables(path)[1]
+        version, n, text, raw = None, 0, None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([version]), pa.array([n], pa.int64()), pa.array([text.hexdigest()]), pa.array([raw.hexdigest()])], ["version", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    done = pieces.groupBy("version").applyInPandas(joined, f"version string, {DIGEST}")
+        for b in batches:
+            for v, ids in zip(b.column("version").to_pylist(), b.column("ids"), strict=True):
+                if v != version:
+                    if version is not None:
+                        yield done()
+                    version, n, text, raw = v, 0, hashlib.sha256(), hashlib.sha256()
+                ids = ids.as_py()
+                if ids:
+                    text.update(((" " if n else "") + " ".join(map(decimal.__getitem__, ids))).encode())
+                    raw.update(b"".join(map(own.__getitem__, ids)))
+                    n += len(ids)
+        if version is not None:
+            yield done()
+
+    done = pieces.repartition("version").sortWithinPartitions("version", "start").mapInArrow(digests, f"version string, {DIGEST}")
     return short.unionByName(long.select("doc_id", "version").join(done, "version").drop("version"))
 
 
+def cuts(frame: pd.DataFrame) -> pd.DataFrame:
+    """For the chunks of one text (at, size, last, head, tail): version, at, start, low, high: chunk at gives its characters
+    low to high to the piece that starts at start."""
+    frame = frame.sort_values("at")
+    rows = frame.to_dict("records")
+    starts = [0]
+    for one, two in zip(rows, rows[1:], strict=False):
+        common = set(one["tail"]).intersection(two["head"])
+        starts.append(min(common) if common else None)
+    out, start = [], 0
+    for k, row in enumerate(rows):
+        start = row["at"] if starts[k] is None else starts[k]
+        after = starts[k + 1] if k + 1 < len(rows) else row["at"] + row["size"]
+        end = rows[k + 1]["at"] if after is None else after
+        own = next(starts[j] for j in range(k, -1, -1) if starts[j] is not None)
+        out.append((row["version"], row["at"], own, start - row["at"], end - row["at"]))
+    return pd.DataFrame(out, columns=["version", "at", "start", "low", "high"])
+
+
 def encode_long(long: DataFrame, path: str, chunk_chars: int, overlap: int) -> DataFrame:
     """version, start, ids of the pieces of each distinct text (version: its digest)."""
 
     def chunks(batches):
         import pyarrow as pa
 
+        schema = pa.schema([("version", pa.string()), ("at", pa.int64()), ("last", pa.bool_()), ("view", pa.string())])
         for b in batches:
             for version, text in zip(b.column("version").to_pylist(), b.column("text").to_pylist(), strict=True):
                 for at in range(0, len(text), chunk_chars):
-                    last = at + chunk_chars >= len(text)
-                    yield pa.RecordBatch.from_pylist([{"version": version, "at": at, "last": last, "view": text[at : at + chunk_chars + overlap]}], pa.schema([("version", pa.string()), ("at", pa.int64()), ("last", pa.bool_()), ("view", pa.string())]))
+                    yield pa.RecordBatch.from_pylist([{"version": version, "at": at, "last": at + chunk_chars >= len(text), "view": text[at : at + chunk_chars + overlap]}], schema)
 
     dealt = long.select("version", "text").mapInArrow(chunks, "version string, at long, last boolean, view string")
     dealt = dealt.dropDuplicates(["version", "at"])
@@ -132,26 +173,16 @@ def encode_long(long: DataFrame, path: str, chunk_chars: int, overlap: int) -> D
         import pyarrow as pa
 
         for b in batches:
-            both = [_ends(v, at, chunk_chars, overlap, last) for v, at, last in zip(*(b.column(c).to_pylist() for c in ("view", "at", "last")), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x[0] for x in both], pa.list_(pa.int64())), pa.array([x[1] for x in both], pa.list_(pa.int64()))], ["version", "at", "last", "view", "head", "tail"])
-
-    dealt = dealt.mapInArrow(ends, "version string, at long, last boolean, view string, head array<long>, tail array<long>")
-
-    def stitched(frame):
-        frame = frame.sort_values("at")
-        rows = frame.to_dict("records")
-        cuts = [0]
-        for one, two in zip(rows, rows[1:], strict=False):
-            common = sorted(set(one["tail"]) & set(two["head"]))
-            cuts.append(common[0] if common else None)
-        if None in cuts:
-            text = "".join(r["view"][:chunk_chars] for r in rows[:-1]) + rows[-1]["view"]
-            return pd.DataFrame([(rows[0]["version"], 0, text)], columns=["version", "start", "piece"])
-        end = rows[-1]["at"] + len(rows[-1]["view"])
-        return pd.DataFrame([(r["version"], a, r["view"][a - r["at"] : b - r["at"]]) for r, a, b in zip(rows, cuts, [*cuts[1:], end], strict=True)], columns=["version", "start", "piece"])
-
-    pieces = dealt.groupBy("version").applyInPandas(stitched, "version string, start long, piece string")
-    pieces = pieces.repartition("version", "start")
+            view = b.column("view").to_pylist()
+            both = [_ends(v, at, chunk_chars, overlap, last) for v, at, last in zip(view, b.column("at").to_pylist(), b.column("last").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(map(len, view), pa.int64()), pa.array([x[0] for x in both], pa.list_(pa.int64())), pa.array([x[1] for x in both], pa.list_(pa.int64()))], ["version", "at", "last", "view", "size", "head", "tail"])
+
+    dealt = cut(dealt.mapInArrow(ends, "version string, at long, last boolean, view string, size long, head array<long>, tail array<long>"))
+    placed = dealt.select("version", "at", "size", "head", "tail").groupBy("version").applyInPandas(cuts, "version string, at long, start long, low long, high long")
+    parted = dealt.select("version", "at", "view").join(placed, ["version", "at"])
+    parted = parted.select("version", "start", "at", F.expr("substring(view, CAST(low + 1 AS INT), CAST(high - low AS INT))").alias("part"))
+    # a piece is one chunk's part; of chunks without a common boundary it is all their parts
+    pieces = parted.groupBy("version", "start").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "").alias("piece"))
 
     def encoded(batches):
         import pyarrow as pa
