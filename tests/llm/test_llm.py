@@ -619,11 +619,36 @@ def test_template_automata():
     assert not matches(t, "use", "grant use to users")
 
 
+def test_nested_regions():
+    t = "alpha <<optional>> b <<optional>> c <<end>> d <<end>> e"
+    for text, want in (("alpha e", True), ("alpha b d e", True), ("alpha b c d e", True), ("alpha b c e", False), ("alpha d e", False), ("alpha c e", False)):
+        assert matches(t, "e", text) is want or matches(t, "alpha", text) is want, text
+    for broken in ("a <<optional>> b", "a <<end>> b", "<<optional>> a <<end>> b"):
+        with pytest.raises(ValueError):
+            op8_license.compile_template("x", broken, "a")
+
+
+@pytest.mark.parametrize("label, markup, anchor", op8_license.TEMPLATES)
+def test_templates_accept_their_own_wording(label, markup, anchor):
+    whole = re.sub(r"<<var \d+>>", "someone", markup).replace("<<optional>>", "").replace("<<end>>", "")
+    bare = re.sub(r"<<var \d+>>", "", markup)
+    while "<<optional>>" in bare:
+        bare = re.sub(r"<<optional>>[^<]*<<end>>", "", bare)
+    assert matches(markup, anchor, f"x {bare} y") and matches(markup, anchor, f"x {whole} y")
+    words = bare.split()
+    assert not matches(markup, anchor, " ".join(words[: len(words) // 2] + ["not"] + words[len(words) // 2 :]))
+
+
 def test_license_labels(spark):
-    mit = op8_license.TEMPLATES[0][1].replace("<<optional>>", "").replace("<<end>>", "")
-    d = spark.createDataFrame([(1, f"x {mit} y"), (2, mit.replace("without restriction", "with restriction")), (3, "Copyright (c) 2020 Some Body. All rights reserved"), (4, "is licensed under the MIT license")], "doc_id long, text string")
+    mit = op8_license.TEMPLATES[0][1]
+    mit = re.sub(r"<<optional>>[^<]*<<end>>", "", mit)
+    bsd2, bsd3 = (re.sub(r"<<var \d+>>", "the authors", re.sub(r"<<optional>>[^<]*<<end>>", "", t[1])) for t in (op8_license.TEMPLATES[3], op8_license.TEMPLATES[2]))
+    d = spark.createDataFrame(
+        [(1, f"x {mit} y"), (2, mit.replace("without restriction", "with restriction")), (3, "Copyright (c) 2020 Some Body. All rights reserved"), (4, "is licensed under the MIT license"), (5, bsd2), (6, bsd3)],
+        "doc_id long, text string",
+    )
     got = by_id(op8_license.scan(d.withColumn("labels", F.lit("mine"))), "base_labels", "labels")
-    assert got == {1: ("", "mit"), 2: ("", ""), 3: ("", "copyright"), 4: ("mit", "mit,mit-notice")}
+    assert got == {1: ("", "mit,mit-opening"), 2: ("", "mit-opening"), 3: ("", "copyright"), 4: ("mit", "mit,mit-notice"), 5: ("", "bsd-2,bsd-opening"), 6: ("", "bsd-3,bsd-opening")}
     assert all(0 <= r["score"] <= 1 for r in op8_license.scan(d).collect())
     assert op8_license.scan(d.limit(0)).count() == 0
 
@@ -652,6 +677,18 @@ def test_bpe(spark, rows, reference, chunk, overlap):
         assert got[i] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()), repr(t)
 
 
+def test_bpe_without_common_boundaries(spark, reference):
+    """Letters longer than the overlap keep two chunks together, not the whole text."""
+    texts = ["plain words here. " * 8 + "x" * 150 + " and more words after it. " * 8, "y" * 400, "a b " * 30 + "z" * 90]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(op9_bpe.encode_digests(d, chunk_chars=50, overlap=10), "n_tokens", "ids_sha256", "decoded_sha256")
+    for i, t in enumerate(texts):
+        ids = reference.encode_ordinary(t)
+        assert got[i] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+    long = d.filter("doc_id = 0").withColumn("version", F.sha2("text", 256))
+    assert op9_bpe.encode_long(long, op9_bpe.default_ranks(), 50, 10).count() > 4
+
+
 def test_bpe_edges(spark, empty):
     pytest.importorskip("public_tokenizers")
     assert op9_bpe.encode_digests(empty).count() == 0

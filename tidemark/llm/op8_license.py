@@ -22,15 +22,31 @@ from .common import Batch, prefix_hash, span_hash
 #: The base phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Wording of public licences and notices; the third item is the word whose places are tried.
+#: Wording of public licences and notices, whole where a licence is short, else the notice that it asks for; the third item
+#: is a mandatory word, whose places are tried.
+_AS_IS = "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders <<optional>> x consortium <<end>> be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+_BSD_OPEN = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met <<optional>> 1 <<end>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer <<optional>> 2 <<end>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"
+_BSD_THIRD = "<<optional>> 3 <<end>> neither the name of <<var 12>> nor the names of <<optional>> its <<end>> <<optional>> their <<end>> contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_BSD_END = "this software is provided by <<var 12>> as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<var 12>> be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+_GNU = "free software you can redistribute it and or modify it under the terms of the gnu {} as published by the free software foundation <<optional>> either version <<var 2>> of the license or <<optional>> at your option <<end>> any later version <<end>>"
 TEMPLATES = [
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files <<optional>> the software <<end>> to deal in the software without restriction", "hereby"),
-    ("isc", "permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with or without fee is hereby granted", "fee"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution"),
-    ("apache-2", "licensed under the apache license version 2 0 <<optional>> the license <<end>> you may not use this <<var 3>> except in compliance with the license", "apache"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice <<optional>> including the next paragraph <<end>> shall be included in all copies or substantial portions of the software " + _AS_IS, "sublicense"),
+    ("isc", "permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and <<var 6>> disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall <<var 6>> be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software", "fee"),
+    ("bsd-3", f"{_BSD_OPEN} {_BSD_THIRD} {_BSD_END}", "redistributions"),
+    ("bsd-2", f"{_BSD_OPEN} {_BSD_END}", "redistributions"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "commercial"),
+    ("apache-2", "licensed under the apache license version 2 0 <<optional>> the license <<end>> you may not use this <<var 3>> except in compliance with the license you may obtain a copy of the license at <<optional>> http <<optional>> s <<end>> <<end>> <<optional>> https <<end>> <<optional>> www <<end>> apache org licenses license 2 0 <<optional>> unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license <<end>>", "apache"),
+    ("gpl", _GNU.format("general public license"), "redistribute"),
+    ("lgpl", _GNU.format("lesser general public license"), "redistribute"),
+    ("agpl", _GNU.format("affero general public license"), "redistribute"),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at <<optional>> http <<end>> <<optional>> https <<end>> <<optional>> www <<end>> mozilla org mpl 2 0", "mozilla"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", "unencumbered"),
     ("apache-2", "spdx license identifier apache 2 0", "spdx"),
     ("mit", "spdx license identifier mit", "spdx"),
-    ("gpl", "free software you can redistribute it and or modify it under the terms of the gnu <<optional>> lesser <<end>> <<optional>> affero <<end>> general public license", "gnu"),
+    # openings and notices that name a licence without its wording
+    ("mit-opening", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "hereby"),
+    ("bsd-opening", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution"),
+    ("apache-2-notice", "licensed under the apache license version 2 0", "apache"),
     ("mit-notice", "<<optional>> is <<end>> <<optional>> released <<end>> <<optional>> licensed <<end>> <<optional>> distributed <<end>> under the mit license", "mit"),
     ("cc-by-nc", "creative commons attribution <<optional>> non commercial <<end>> <<optional>> noncommercial <<end>> <<var 2>> license", "commons"),
     ("copyright", "copyright <<optional>> c <<end>> <<var 8>> all rights reserved", "copyright"),
@@ -87,25 +103,33 @@ class Automaton:
 
 
 def compile_template(label: str, markup: str, anchor: str) -> Automaton:
-    a, state, opened, before = Automaton(label, 0), 0, None, 0
+    """The automaton of a template; optional regions may hold others. ValueError if they don't pair up."""
+    a, state, opened, before = Automaton(label, 0), 0, [], 0
     for token in re.findall(r"<<[^>]*>>|\S+", markup):
         if token == "<<optional>>":
-            opened = state
+            opened.append(state)
         elif token == "<<end>>":
-            a.skip.setdefault(opened, []).append(state)
-            opened = None
+            if not opened:
+                raise ValueError(f"{label}: <<end>> without <<optional>>")
+            a.skip.setdefault(opened.pop(), []).append(state)
         elif token.startswith("<<var"):
-            a.gap[state] = int(token[5:-2])
-            before += a.gap[state]
+            # a state of its own: a region that is left out must not swallow its words
             a.skip.setdefault(state, []).append(state + 1)
-            state += 1
+            a.gap[state + 1] = int(token[5:-2])
+            before += a.gap[state + 1]
+            a.skip.setdefault(state + 1, []).append(state + 2)
+            state += 2
         else:
-            if token == anchor and not a.anchor:
+            if token == anchor and not opened and not a.anchor:
                 a.anchor, a.reach = int(hash_words([token])[0]), before
             a.steps[state] = (int(hash_words([token])[0]), state + 1)
-            a.mandatory += opened is None
+            a.mandatory += not opened
             before += 1
             state += 1
+    if opened:
+        raise ValueError(f"{label}: <<optional>> without <<end>>")
+    if not a.anchor:
+        raise ValueError(f"{label}: {anchor} is no mandatory word")
     a.accept = state
     return a
 
