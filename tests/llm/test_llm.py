@@ -495,6 +495,29 @@ def test_blind_trie():
             assert trie.insert(t) == max(op6_suffix.common_prefix(t, x) for x in texts[:k])
 
 
+def test_tries_order_and_find_earlier_prefixes():
+    rng = random.Random(14)
+    for _ in range(60):
+        texts = [bytes(rng.choice(b"ab\x00") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(1, 25))]
+        trie = op6_suffix.BlindTrie(texts[0])
+        for t in texts[1:]:
+            trie.insert(t)
+        order = trie.ordered()
+        assert [t for t, _ in order] == sorted(set(texts))
+        assert [x for _, x in order][1:] == [op6_suffix.common_prefix(a, b) for (a, _), (b, _) in zip(order, order[1:], strict=False)]
+        assert op6_suffix.earlier_prefixes(texts) == [max([op6_suffix.common_prefix(t, x) for x in texts[:k]], default=0) for k, t in enumerate(texts)]
+
+
+def test_shallow_groups():
+    rng = random.Random(15)
+    for _ in range(20):
+        suffixes = [(rng.randint(0, 3), -rng.randint(0, 2), k, 1, bytes(rng.choice(b"ab") for _ in range(14)) + bytes(rng.choice(b"xy") for _ in range(6))) for k in range(120)]
+        want = defaultdict(list)
+        for x in suffixes:
+            want[x[0], x[1], x[4][: op6_suffix.SHALLOW]].append(x)
+        assert sorted(op6_suffix.shallow(suffixes)) == sorted(v for v in want.values() if len(v) > 1)
+
+
 def test_suffix_dedup_edges(spark, empty):
     assert op6_suffix.remove_repeats(empty).count() == 0
     rng = random.Random(1)

@@ -7,10 +7,10 @@ context, and their place, spread by anchor and sorted by (anchor, context, docum
 
 One pass over the sorted rows settles most of them. Rows with the same anchor and context repeat the first of them, so all
 windows of the later ones go. First rows whose anchor has no other context are new text. What remains are anchors with
-several contexts: the edges of repeats. Their contexts' bytes are fetched and ordered as suffixes: from the places where
-contexts part to the left, multikey quicksort orders the suffixes to a shallow depth, and blind tries order the groups
-that still share it. Suffixes of one place with a common prefix of width bytes or more are repeats; the common prefix says
-how far.
+several contexts: the edges of repeats. Their contexts' bytes are fetched once and ordered as suffixes: from the places where
+contexts part to the left, multikey quicksort parts the suffixes to a shallow depth, and blind tries order the groups that
+still share it. Neighbours' common prefixes of width bytes or more with an earlier suffix are repeats; the prefix says how
+far.
 
 Texts are judged on the input; offsets are of UTF-8 bytes. Null text counts as empty. Order of documents is doc_id; null
 doc_ids come first, and rows that repeat a doc_id are ordered by their text's hash; repeated rows with equal text are one
@@ -208,10 +208,11 @@ def common_prefix(a: bytes, b: bytes) -> int:
 
 class BlindTrie:
     """Strings by the places where they part. Nodes: [place, {byte: node}, a string below]; leaves are strings; the byte
-    after a string's end counts as -1."""
+    after a string's end counts as -1, so that a string stands before those that it begins."""
 
     def __init__(self, first: bytes):
         self.root = first
+        self.times = {first: 1}
 
     def insert(self, text: bytes) -> int:
         """Add text; the longest common prefix with a string that was there."""
@@ -220,6 +221,7 @@ class BlindTrie:
             at = node[0]
             node = node[1].get(text[at] if at < len(text) else -1) or node[2]
         lcp = common_prefix(node, text)
+        self.times[text] = self.times.get(text, 0) + 1
         if lcp == len(text) == len(node):
             return lcp
         up, key, node = None, 0, self.root
@@ -238,6 +240,50 @@ class BlindTrie:
             up[1][key] = made
         return lcp
 
+    def ordered(self) -> list[tuple[bytes, int]]:
+        """(string, common prefix with the string before) of the distinct strings in order; the first has 0."""
+        out: list[tuple[bytes, int]] = []
+        todo: list[tuple] = [(self.root, 0)]
+        while todo:
+            node, shared = todo.pop()
+            if type(node) is list:
+                keys = sorted(node[1])
+                todo += [(node[1][k], node[0] if k != keys[0] else shared) for k in reversed(keys)]
+            else:
+                out.append((node, shared))
+        return out
+
+
+def earlier_prefixes(texts: list[bytes]) -> list[int]:
+    """For each string, the longest common prefix with one before it in the list (0 for the first).
+
+    A blind trie puts the strings in order, so that common prefixes are those of neighbours. Strings are taken out again from
+    the last of the list on: what then stands beside a string came before it, and the gap closes to the lesser prefix.
+    """
+    trie = BlindTrie(texts[0])
+    for t in texts[1:]:
+        trie.insert(t)
+    order = trie.ordered()
+    place = {t: k for k, (t, _) in enumerate(order)}
+    before, after = list(range(-1, len(order) - 1)), list(range(1, len(order) + 1))
+    shared = [lcp for _, lcp in order] + [0]  # with the string before, among those left
+    left, out = dict(trie.times), [0] * len(texts)
+    for i in range(len(texts) - 1, -1, -1):
+        t = texts[i]
+        left[t] -= 1
+        if left[t]:
+            out[i] = len(t)
+            continue
+        k = place[t]
+        a, z = before[k], after[k]
+        out[i] = max(shared[k] if a >= 0 else 0, shared[z] if z < len(order) else 0)
+        if z < len(order):
+            shared[z] = min(shared[k], shared[z])
+            before[z] = a
+        if a >= 0:
+            after[a] = z
+    return out
+
 
 def left_breaks(left: list[bytes]) -> list[set[int]]:
     """For each reversed left part, the lengths it has in common with others (its own length included)."""
@@ -277,12 +323,7 @@ def compare(groups: list[list[tuple[int, int, bytes]]], width: int) -> list[list
             places[k] = place, windows
             k += 1
     for tied in shallow(suffixes):
-        trie = None
-        for _, s, c, after, data in tied:
-            if trie is None:
-                trie = BlindTrie(data)
-                continue
-            lcp = trie.insert(data)
+        for (_, s, c, after, _), lcp in zip(tied, earlier_prefixes([x[4] for x in tied]), strict=True):
             if lcp >= width:
                 place, windows = places[c]
                 a = place + s
@@ -293,25 +334,40 @@ def compare(groups: list[list[tuple[int, int, bytes]]], width: int) -> list[list
 
 
 def shallow(suffixes: list[tuple]) -> list[list[tuple]]:
-    """Multikey quicksort, eight bytes a key, to SHALLOW bytes: the groups of two or more suffixes of one anchor and start
-    that still share them, earliest context first."""
+    """Multikey quicksort to SHALLOW bytes, eight bytes a character: the groups of two or more suffixes of one anchor and start
+    that still share them, earliest context first.
+
+    Every round parts all open groups at once in three, below, equal to and above the character of the group's middle
+    suffix; the equal part goes on with the next character. Suffixes alone in their part are done.
+    """
     if not suffixes:
         return []
-    words = np.frombuffer(b"".join(x[4][:SHALLOW].ljust(SHALLOW, b"\0") for x in suffixes), dtype=">u8").reshape(len(suffixes), -1).astype(np.uint64)
+    characters = np.frombuffer(b"".join(x[4][:SHALLOW].ljust(SHALLOW, b"\0") for x in suffixes), dtype=">u8").reshape(len(suffixes), -1).astype(np.uint64)
     group = np.array([x[0] for x in suffixes], np.int64) * 4096 - np.array([x[1] for x in suffixes], np.int64)
-    live = np.arange(len(suffixes))
-    part = group
-    for k in range(words.shape[1]):
-        order = np.lexsort((live, words[live, k], part))
-        live, part = live[order], part[order]
-        new = np.concatenate([[True], (part[1:] != part[:-1]) | (words[live[1:], k] != words[live[:-1], k])])
-        part = np.cumsum(new) - 1
-        many = np.bincount(part)[part] > 1
-        live, part = live[many], part[many]
+    live = np.argsort(group, kind="stable")
+    part = np.cumsum(np.concatenate([[0], (np.diff(group[live]) != 0).astype(np.int64)]))
+    depth = np.zeros(len(suffixes), np.int64)
+    tied: list[np.ndarray] = []
+    while len(live):
+        size = np.bincount(part)
+        many = size[part] > 1
+        live, part = live[many], np.unique(part[many], return_inverse=True)[1]
         if not len(live):
-            return []
-    cuts = np.flatnonzero(np.diff(part)) + 1
-    return [[suffixes[i] for i in x] for x in np.split(live, cuts)]
+            break
+        size = np.bincount(part)
+        first = np.cumsum(size) - size
+        own = characters[live, depth[live]]
+        pivot = own[first + size // 2][part]
+        side = np.where(own < pivot, 0, np.where(own == pivot, 1, 2))
+        depth[live[side == 1]] += 1
+        order = np.argsort(part * 3 + side, kind="stable")
+        live, part = live[order], (part * 3 + side)[order]
+        deep = depth[live] == characters.shape[1]
+        if deep.any():
+            cuts = np.flatnonzero(np.diff(part[deep])) + 1
+            tied += [x for x in np.split(live[deep], cuts) if len(x) > 1]
+            live, part = live[~deep], part[~deep]
+    return [[suffixes[i] for i in np.sort(x)] for x in tied]
 
 
 def fetched(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -340,7 +396,7 @@ def edges(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """doc_id, version, start, end of the repeats in contexts that share their anchor with others."""
     wanted = wanted.select(F.col("doc_id").alias("doc"), F.col("version").alias("ver"), "start", "gram", "shape")
     crowded = wanted.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MOST).select("gram")
-    with_bytes = fetched(docs, wanted, width)
+    with_bytes = cut(fetched(docs, wanted, width))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, version long, start long, end long"
     order = ("gram", "doc_id", "version", "start")
