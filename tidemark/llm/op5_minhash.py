@@ -138,10 +138,12 @@ def fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def open_members(members: DataFrame, placed: DataFrame) -> DataFrame:
-    """doc_id of the members of tables that still hold two components and more than the one pair that stars() has tried."""
-    in_comp = members.join(placed.select(F.col("doc_id").alias("x"), "comp"), "x")
-    left = in_comp.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("a"), F.max("comp").alias("z")).filter("n > 2 AND a < z").select("t")
-    return members.join(left, "t").select(F.col("x").alias("doc_id")).distinct()
+    """doc_id of the documents of components that meet another in a table of more than the one pair that stars() has tried.
+    Tables are opened for components, a row each, so that a large group of copies doesn't come back once a table."""
+    per = cut(members.join(placed.select(F.col("doc_id").alias("x"), "comp"), "x").groupBy("t", "comp").agg(F.count(F.lit(1)).alias("n")))
+    left = per.groupBy("t").agg(F.sum("n").alias("n"), F.min("comp").alias("a"), F.max("comp").alias("z")).filter("n > 2 AND a < z").select("t")
+    comps = per.join(left, "t").select("comp").distinct()
+    return placed.join(comps, "comp", "left_semi").select("doc_id")
 
 
 def rare_pairs(texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
