@@ -371,8 +371,8 @@ def shallow(suffixes: list[tuple]) -> list[list[tuple]]:
 
 
 def fetched(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """wanted (doc, ver, start, gram, shape) with the bytes of its contexts."""
-    per_doc = wanted.groupBy("doc", "ver").agg(F.collect_set(F.struct("start", "gram", "shape")).alias("wanted"))
+    """wanted (doc, ver, start, gram, shape, many) with the bytes of its contexts."""
+    per_doc = wanted.groupBy("doc", "ver").agg(F.collect_set(F.struct("start", "gram", "shape", "many")).alias("wanted"))
     joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["doc"]) & (docs["version"] == per_doc["ver"]))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -387,20 +387,21 @@ def fetched(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 start, gram, shape = (w.field(k).to_numpy() for k in range(3))
                 bits = [data[s : s + (h & 0xFFFF) + width] for s, h in zip(start.tolist(), shape.tolist(), strict=True)]
                 at = pa.array(np.full(len(start), i, np.int64))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("version").take(at), w.field(0), w.field(1), w.field(2), pa.array(bits, pa.binary())], ["doc_id", "version", "start", "gram", "shape", "bytes"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(at), b.column("version").take(at), w.field(0), w.field(1), w.field(2), w.field(3), pa.array(bits, pa.binary())], ["doc_id", "version", "start", "gram", "shape", "many", "bytes"])
 
-    return joined.select("doc_id", "version", "text", "wanted").mapInArrow(run, f"doc_id {kind}, version long, start long, gram long, shape long, bytes binary")
+    return joined.select("doc_id", "version", "text", "wanted").mapInArrow(run, f"doc_id {kind}, version long, start long, gram long, shape long, many boolean, bytes binary")
 
 
 def edges(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """doc_id, version, start, end of the repeats in contexts that share their anchor with others."""
     wanted = wanted.select(F.col("doc_id").alias("doc"), F.col("version").alias("ver"), "start", "gram", "shape")
     crowded = wanted.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MOST).select("gram")
+    wanted = wanted.join(crowded.withColumn("many", F.lit(True)), "gram", "left").withColumn("many", F.col("many").isNotNull())
     with_bytes = cut(fetched(docs, wanted, width))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, version long, start long, end long"
     order = ("gram", "doc_id", "version", "start")
-    usual = with_bytes.join(crowded, "gram", "left_anti").repartition(partitions(docs), "gram").sortWithinPartitions(*order)
+    usual = with_bytes.filter("NOT many").drop("many").repartition(partitions(docs), "gram").sortWithinPartitions(*order)
 
     def run(batches):
         import pyarrow as pa
@@ -431,7 +432,7 @@ def edges(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     # an anchor with too many contexts for a task: its windows one by one, the earliest of equal ones by aggregation
     size = F.col("shape").bitwiseAND(F.lit(0xFFFF))
-    each = with_bytes.join(crowded, "gram", "left_semi").select("doc_id", "version", "start", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), size)).alias("k"))
+    each = with_bytes.filter("many").select("doc_id", "version", "start", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), size)).alias("k"))
     each = each.select(F.substring("bytes", F.col("k").cast("int") + 1, F.lit(width)).alias("bytes"), F.struct("doc_id", "version", (F.col("start") + F.col("k")).alias("start")).alias("place"))
     first = each.groupBy("bytes").agg(F.min("place").alias("first"))
     rest = each.join(first, "bytes").filter(~F.col("place").eqNullSafe(F.col("first")))
