@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_quality, op2_lm, op3_html, op4_lines, op5_minhash, op6_suffix, op7_decontaminate, op8_license, op9_bpe, op10_chat
+from . import op1_quality, op2_lm, op3_html, op4_lines, op5_minhash, op6_suffix, op7_decontaminate, op8_license, op9_bpe, op10_chat, op11_centroids, op12_exact, op13_align
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,7 +60,19 @@ def op10_preference_format(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_score, op3_html_extract, op4_line_dedup, op5_minhash_dedup, op6_suffix_dedup, op7_decontaminate_bm25, op8_license_scan, op9_byte_bpe, op10_preference_format)}
+def op11_centroid_clustering(spark, sf_dir):
+    return op11_centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_dedup(spark, sf_dir):
+    return op12_exact.dedup(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark, sf_dir):
+    return op13_align.link_table(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_lm_score, op3_html_extract, op4_line_dedup, op5_minhash_dedup, op6_suffix_dedup, op7_decontaminate_bm25, op8_license_scan, op9_byte_bpe, op10_preference_format, op11_centroid_clustering, op12_exact_dedup, op13_token_alignment)}
 
 
 def queries():
@@ -73,7 +85,31 @@ def oracle_sql():
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _kmeans_sql(k: int = 40, rounds: int = 5) -> str:
+    """Rounds of assignment and exact means over all pairs of vectors and centroids, one after another."""
+    distance = "CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    nearest = lambda r: f"(SELECT vec_id, any_value(v) AS v, min({{'d': {distance}, 'cid': cid}}) AS m FROM v CROSS JOIN c{r} GROUP BY vec_id)"
+    with_ = f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cid, v AS c FROM v ORDER BY sha256('2:' || vec_id) LIMIT {k})"""
+    for r in range(rounds):
+        with_ += f""",
+a{r} AS MATERIALIZED (SELECT v, m.cid AS cid FROM {nearest(r)}),
+s{r} AS (SELECT cid, d, sum(x) AS s, count(*) AS n FROM (SELECT cid, unnest(v) AS x, unnest(range(1, 65)) AS d FROM a{r}) GROUP BY cid, d),
+m{r} AS (SELECT cid, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS c FROM s{r} GROUP BY cid),
+c{r + 1} AS MATERIALIZED (SELECT cid, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (cid))"""
+    return f"""WITH {with_},
+z AS MATERIALIZED (SELECT vec_id, CAST(m.cid AS INTEGER) AS cluster, m.d AS distance FROM {nearest(rounds)})
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256 FROM z JOIN c{rounds} ON cid = cluster"""
+
+
 SQL = {
+    "op11_centroid_clustering": _kmeans_sql(),
+    "op12_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
     "op1_quality_rules": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
