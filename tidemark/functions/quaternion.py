@@ -26,17 +26,28 @@ def to_matrix(q: np.ndarray) -> np.ndarray:
     return np.stack([1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w), 2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w), 2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)], axis=-1).reshape(*w.shape, 3, 3)
 
 
+def slerps(a: np.ndarray, b: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """From each a towards its b on the shorter way, by the share t; arrays [..., 4] and [...]."""
+    d = (a * b).sum(-1, keepdims=True)
+    b, d = np.where(d < 0, -b, b), np.minimum(1.0, np.abs(d))
+    angle, t = np.arccos(d), t[..., None]
+    sine = np.sin(angle)
+    flat = sine < 1e-6  # so near that the chord is the arc
+    whole = np.where(flat, 1.0, sine)
+    q = np.where(flat, a + t * (b - a), (np.sin((1 - t) * angle) * a + np.sin(t * angle) * b) / whole)
+    return q / np.linalg.norm(q, axis=-1, keepdims=True)
+
+
 def slerp(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
-    """From a towards b on the shorter way."""
-    d = float(a @ b)
-    if d < 0:
-        b, d = -b, -d
-    if d > 0.9995:
-        q = a + t * (b - a)
-    else:
-        angle = np.arccos(min(1.0, d))
-        q = (np.sin((1 - t) * angle) * a + np.sin(t * angle) * b) / np.sin(angle)
-    return q / np.linalg.norm(q)
+    return slerps(np.asarray(a), np.asarray(b), np.asarray(t))
+
+
+def matrix_to_euler(m: np.ndarray, limit: float = 1e-6) -> np.ndarray:
+    """Extrinsic x, y, z angles of rotations [..., 3, 3]; z is 0 where the y angle hides it."""
+    cy = np.hypot(m[..., 0, 0], m[..., 1, 0])
+    plain = cy > limit
+    x = np.where(plain, np.arctan2(m[..., 2, 1], m[..., 2, 2]), np.arctan2(-m[..., 1, 2], m[..., 1, 1]))
+    return np.stack([x, np.arctan2(-m[..., 2, 0], cy), np.where(plain, np.arctan2(m[..., 1, 0], m[..., 0, 0]), 0.0)], axis=-1)
 
 
 def project(m: np.ndarray) -> np.ndarray:

@@ -2,51 +2,22 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import quaternion
+from . import repair
 from .ranking import global_rank
-from .runs import fold
 
 
-def alpha(cutoff: float, dt: float) -> float:
-    """Smoothing factor of a first-order low-pass filter."""
-    return 1.0 / (1.0 + 1.0 / (2 * math.pi * cutoff * dt))
+def one_euro(df: DataFrame, by: str, order: str, value: str, fps: float, min_cutoff: float = 1.0, beta: float = 0.1, derivative_cutoff: float = 1.0) -> DataFrame:
+    """by, order, smooth: a low-pass filter whose cutoff rises with the filtered speed of the input. Nulls end a run."""
+    out = repair.smoothed(df.select(by, order, value), by, order, value, "vector", 1, fps, min_cutoff=min_cutoff, beta=beta, derivative_cutoff=derivative_cutoff)
+    return out.select(by, order, "smooth")
 
 
-def one_euro(df: DataFrame, by: str, order: str, value: str, fps: float, min_cutoff: float = 1.0, beta: float = 0.1, derivative_cutoff: float = 1.0) -> DataFrame:
-    """by, order, smooth: a low-pass filter whose cutoff rises with the filtered speed. Null values pass as null and end a run."""
-    dt = 1.0 / fps
-    a = alpha(derivative_cutoff, dt)
-
-    def step(state, x):
-        if x is None or x != x:
-            return None, None
-        if state is None:
-            return (x, 0.0), x
-        before, speed = state
-        speed += a * ((x - before) / dt - speed)
-        y = before + alpha(min_cutoff + beta * abs(speed), dt) * (x - before)
-        return (y, speed), y
-
-    return fold(df, by, order, value, "smooth", "double", step)
-
-
-def smooth_rotations(df: DataFrame, by: str, order: str, matrix: str, amount: float = 0.5) -> DataFrame:
-    """by, order, smooth (row-major array of nine): rotations pulled along the shorter arc from the last smooth one."""
-
-    def step(state, m):
-        if m is None or not np.all(np.isfinite(m)):
-            return None, None
-        q = quaternion.from_matrix(np.asarray(m))[0]
-        q = q if state is None else quaternion.slerp(state, q, amount)
-        return q, quaternion.to_matrix(q).reshape(-1).tolist()
-
-    return fold(df, by, order, matrix, "smooth", "array<double>", step)
+def one_euro_rotations(df: DataFrame, by: str, order: str, matrix: str, fps: float, **options) -> DataFrame:
+    """by, order, smooth (row-major array of nine): the same on rotations, where angular speed sets the cutoff."""
+    return repair.smoothed(df.select(by, order, matrix), by, order, matrix, "rotation", 9, fps, **options).select(by, order, "smooth")
 
 
 def nms(samples: DataFrame, boxes: str, confidence: float, overlap: float) -> DataFrame:

@@ -7,15 +7,23 @@ from pyspark.sql import functions as F
 
 from ..functions import ladders, linalg
 from ..functions.stats import r6
-from ..operators import filters, validation
-from ..sources.shared import fresh_path
+from ..operators import filters, repair, validation
+from ..sources.shared import cut, fresh_path
 from ..sources.tables import frames, json_lines, table
 from ..streaming import jobs
 from .registry import query
 from .series import FRAMES
 
 
-@query()
+#: The One-Euro step in SQL: the smoothing factor of a cutoff at 30 frames a second.
+_A = "(1 / (1 + 30.0::DOUBLE / (2 * pi() * greatest({}, 1e-9))))"
+
+
+@query(f"""WITH RECURSIVE {FRAMES}, v AS MATERIALIZED (SELECT episode, frame, CASE WHEN valid THEN value END AS x FROM f),
+s(episode, frame, x, y, d) AS (SELECT episode, frame, x, x, 0::DOUBLE FROM v WHERE frame = 0
+UNION ALL SELECT v.episode, v.frame, v.x, CASE WHEN v.x IS NULL OR s.x IS NULL THEN v.x ELSE s.y + {_A.format(f"1.0 + 0.1 * abs(s.d + {_A.format('1.0')} * ((v.x - s.x) * 30 - s.d))")} * (v.x - s.y) END,
+  CASE WHEN v.x IS NULL OR s.x IS NULL THEN 0 ELSE s.d + {_A.format('1.0')} * ((v.x - s.x) * 30 - s.d) END FROM s JOIN v ON v.episode = s.episode AND v.frame = s.frame + 1)
+SELECT episode, frame, round(y, 4) AS smooth FROM s""")
 def one_euro_filter(spark, sf):
     f = frames(spark, sf).withColumn("v", F.when(F.col("valid"), F.col("value")))
     return filters.one_euro(f, "episode", "frame", "v", 30.0).select("episode", "frame", F.round("smooth", 4).alias("smooth"))
@@ -24,10 +32,58 @@ def one_euro_filter(spark, sf):
 @query()
 def rotation_filter(spark, sf):
     e = table(spark, sf, "embeddings").select("label", "vec_id", F.array(*linalg.euler_to_matrix(linalg.part("embedding", 12, 3))).alias("m"))
-    out = filters.smooth_rotations(e, "label", "vec_id", "m")
+    out = filters.one_euro_rotations(e, "label", "vec_id", "m", 30.0)
     return out.select("label", "vec_id", F.round(linalg.orthogonality_error(linalg.part("smooth", 0, 9)), 6).alias("error"), F.round(F.get("smooth", F.lit(0)), 5).alias("m00"))
 
 
+def motion(spark, sf):
+    """Vectors as frames of a body: 64 of them an episode, drifting, with two sides, a mask, a camera and a state."""
+    fr, e = F.col("vec_id") % 64, "embedding"
+    drift = lambda first, n: [c * 0.05 + fr * 0.01 for c in linalg.part(e, first, n)]
+    flat = lambda columns: F.array(*columns)
+    angle = lambda k: F.get(F.col(e), k).cast("double") * 0.05 + fr * 0.01
+    joints = lambda first: F.flatten(F.transform(F.sequence(F.lit(first), F.lit(first + 14)), lambda j: flat(linalg.euler_to_matrix([angle(j), angle(j + 1), angle(j + 2)]))))
+    turn = linalg.euler_to_matrix(drift(57, 3))
+    camera = [*turn[0:3], *linalg.part(e, 60, 1), *turn[3:6], *linalg.part(e, 61, 1), *turn[6:9], *linalg.part(e, 62, 1), *map(F.lit, (0.0, 0.0, 0.0, 1.0))]
+    sides = {f"{s}_{name}": c for s, k in (("left", 0), ("right", 20)) for name, c in (("transl_world", flat(drift(k, 3))), ("orient_world", flat(linalg.euler_to_matrix(drift(k + 3, 3)))), ("hand_pose", joints(k + 6)))}
+    mask = F.array(*[c > -0.15 for c in linalg.part(e, 30, 2)])
+    return table(spark, sf, "embeddings").select(
+        F.floor(F.col("vec_id") / 64).alias("episode_index"), fr.alias("frame_index"), mask.alias("state_mask"), flat(camera).alias("extrinsics_w2c"),
+        F.transform(F.sequence(F.lit(0), F.lit(121)), lambda k: k.cast("double")).alias("observation.state"), *[c.alias(n) for n, c in sides.items()],
+    )
+
+
+_P = [f"CAST(embedding[{k + 1}] AS DOUBLE) * 0.05 + (vec_id % 64) * 0.01" for k in range(3)]
+_D = [f"(s.d{k} + {_A.format('1.0')} * ((v.x{k} - s.x{k}) * 30 - s.d{k}))" for k in range(3)]
+_Y = _A.format(f"2.0 + 0.7 * sqrt({' + '.join(f'{d} * {d}' for d in _D)})")
+
+
+@query(f"""WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id // 64 AS e, vec_id % 64 AS fr, row_number() OVER (PARTITION BY vec_id // 64 ORDER BY vec_id) AS k, embedding[31] > -0.15 AS ok, {', '.join(f'{p} AS x{k}' for k, p in enumerate(_P))} FROM embeddings),
+s AS (SELECT *, {', '.join(f'x{k} AS y{k}, 0::DOUBLE AS d{k}' for k in range(3))} FROM v WHERE k = 1
+UNION ALL SELECT v.*, {', '.join(f'CASE WHEN v.ok AND s.ok THEN s.y{k} + {_Y} * (v.x{k} - s.y{k}) ELSE v.x{k} END, CASE WHEN v.ok AND s.ok THEN {_D[k]} ELSE 0 END' for k in range(3))} FROM s JOIN v ON v.e = s.e AND v.k = s.k + 1)
+SELECT e AS episode_index, fr AS frame_index, {', '.join(f'round(y{k}, 6) + 0.0 AS {n}' for k, n in enumerate('xyz'))}, NOT ok AS gap FROM s""")
+def repaired_translation(spark, sf):
+    out = repair.repaired(motion(spark, sf))
+    return out.select("episode_index", "frame_index", *[r6(c).alias(n) for c, n in zip(linalg.part("left_transl_world", 0, 3), "xyz", strict=True)], (~F.get("state_mask", F.lit(0))).alias("gap"))
+
+
+@query()
+def episode_repair(spark, sf):
+    """Frames repaired, held against what they were, and taken back where the gate fails."""
+    before = cut(motion(spark, sf))
+    after = cut(repair.repaired(before))
+    out = repair.gated(before, after, repair.fidelity(before, after, retention=0.5, translation_mm=100.0, rotation_deg=20.0))
+    places = {"wrist_x": 3, "joint_x": 6, "right_point_z": 63, "shape": 51}
+    return out.select("episode_index", "frame_index", "repair_kept", *[r6(F.get("`observation.state`", F.lit(k))).alias(n) for n, k in places.items()])
+
+
+@query()
+def repair_fidelity(spark, sf):
+    before = cut(motion(spark, sf))
+    found = repair.fidelity(before, repair.repaired(before), retention=0.5, translation_mm=100.0, rotation_deg=20.0)
+    return found.select(*[r6(F.col(n)).alias(n) if t == "double" else F.col(n) for n, t in found.dtypes])
+
+
 @query()
 def nms_counts(spark, sf):
     box = lambda k: F.struct(*[x.alias(n) for x, n in zip((linalg.part("embedding", k, 1)[0], linalg.part("embedding", k + 1, 1)[0], linalg.part("embedding", k, 1)[0] + 0.2, linalg.part("embedding", k + 1, 1)[0] + 0.2, F.abs(linalg.part("embedding", k + 2, 1)[0])), ("x1", "y1", "x2", "y2", "confidence"), strict=True)])
