@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import ratio, wilson
-from .ranking import running_sums
+from ..sources.shared import cut
+from .ranking import global_rank, running_sums
 
 
 def confusion(p: Column, label: Column, threshold) -> dict[str, Column]:
@@ -69,19 +70,36 @@ def select_threshold(scored: DataFrame, target: float, p: str = "p", label: str
     return s.filter(F.col("lower") >= target).orderBy(F.col("recall").desc(), F.col("lower").desc(), F.col(p)).limit(1).select(F.col(p).alias("threshold"), "selected", "tp", "recall", "lower")
 
 
-def cluster_bootstrap(scored: DataFrame, group: str, threshold: float, replicates: int, seed, p: str = "p", label: str = "label") -> DataFrame:
-    """One row: 2.5 and 97.5 percentiles of precision and recall over replicates that draw groups with replacement.
+def identity_group(*fields: str) -> Column:
+    """"field:value" of the first field that has a value, else "unknown"."""
+    named = [F.when(F.col(f).isNotNull() & (F.col(f).cast("string") != ""), F.concat(F.lit(f"{f}:"), F.col(f).cast("string"))) for f in fields]
+    return F.coalesce(*named, F.lit("unknown"))
 
-    Groups are summed first. Each (replicate, group) gets a Poisson(1) weight from a hash, so that replicates need no
-    collection of groups and the draw is the same at every partitioning. So a replicate holds as many groups as there are
-    on average, not exactly, and a group five times at most (more has a probability of 0.0006).
+
+def bootstrap_draws(groups: DataFrame, n: int, replicates: int, seed) -> DataFrame:
+    """replicate and the columns of groups: n draws of the n groups a replicate, with replacement.
+
+    groups: with place, from 1 to n. A draw is a digest of (seed, replicate, number of the draw), so it needs no collection of
+    groups and is the same at every partitioning; only as many rows as are drawn are ever made, and they meet the groups by place.
+    """
+    spark = groups.sparkSession
+    drawn = spark.range(replicates * n).select(F.floor(F.col("id") / n).cast("int").alias("replicate"), (F.col("id") % n).alias("_k"))
+    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("replicate").cast("string"), F.col("_k").cast("string")), 256)
+    drawn = drawn.select("replicate", (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") % n + 1).alias("place"))
+    return drawn.join(groups, "place")
+
+
+def cluster_bootstrap(scored: DataFrame, group: str | Column, threshold: float, replicates: int, seed, p: str = "p", label: str = "label") -> DataFrame:
+    """One row: 2.5 and 97.5 percentiles of precision, recall and F1 over replicates that draw as many groups as there are,
+    with replacement. Replicates without a denominator don't count; all is null with fewer than two groups or no replicate.
+
+    Groups are summed first and numbered by a range-partitioned sort; a draw is a row of four sums.
     """
-    sums = scored.groupBy(group).agg(*confusion(F.col(p), F.col(label), threshold).values())
-    drawn = sums.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    u = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("replicate").cast("string"), F.col(group).cast("string")), 256), 1, 8), 16, 10).cast("bigint") / 4294967296.0
-    w = F.lit(0)
-    for k, bound in enumerate((0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563)):
-        w = F.when(u >= bound, k + 1).otherwise(w) if k else F.when(u >= bound, 1).otherwise(0)
-    rep = drawn.withColumn("w", w).groupBy("replicate").agg(*[F.sum(F.col(c) * F.col("w")).alias(c) for c in ("tp", "fp", "fn")])
-    rep = rep.select(ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"))
-    return rep.agg(*[F.percentile(c, F.lit(q)).alias(f"{c}_{name}") for c in ("precision", "recall") for q, name in ((0.025, "low"), (0.975, "high"))])
+    sums = scored.groupBy((F.col(group) if isinstance(group, str) else group).alias("_group")).agg(*confusion(F.col(p), F.col(label), threshold).values())
+    placed = cut(global_rank(sums, "_group").select("place", "tp", "fp", "fn", "tn"), "groups")
+    n = placed.count()
+    if n < 2:
+        replicates = 0
+    rep = bootstrap_draws(placed, n, replicates, seed) if n else placed.withColumn("replicate", F.lit(0))
+    rep = with_metrics(rep.groupBy("replicate").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]))
+    return rep.agg(*[F.percentile(c, F.lit(q)).alias(f"{c}_{name}") for c in ("precision", "recall", "f1") for q, name in ((0.025, "low"), (0.975, "high"))])

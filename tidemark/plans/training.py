@@ -57,12 +57,14 @@ def threshold_search(spark, sf):
     return t.select(r6(F.col("threshold")).alias("threshold"), "selected", "tp", r6(F.col("recall")).alias("recall"), r6(F.col("lower")).alias("lower"))
 
 
-@query(f"""WITH {S}, g AS (SELECT source, {_C.format(t=0.5)} FROM s GROUP BY source), d AS (SELECT g.*, r, CAST('0x' || sha256('3:' || r || ':' || source)[1:8] AS BIGINT) / 4294967296.0 AS u FROM g, (SELECT unnest(range(200)) AS r)),
-w AS (SELECT *, CASE WHEN u >= 0.9963401531726563 THEN 5 WHEN u >= 0.9810118431238462 THEN 4 WHEN u >= 0.9196986029286058 THEN 3 WHEN u >= 0.7357588823428847 THEN 2 WHEN u >= 0.36787944117144233 THEN 1 ELSE 0 END AS k FROM d),
-x AS (SELECT r, sum(tp * k) / nullif(sum((tp + fp) * k), 0)::DOUBLE AS p, sum(tp * k) / nullif(sum((tp + fn) * k), 0)::DOUBLE AS c FROM w GROUP BY r)
-SELECT round(quantile_cont(p, 0.025), 6) AS precision_low, round(quantile_cont(p, 0.975), 6) AS precision_high, round(quantile_cont(c, 0.025), 6) AS recall_low, round(quantile_cont(c, 0.975), 6) AS recall_high FROM x""")
+@query(f"""WITH {S}, g AS (SELECT *, row_number() OVER (ORDER BY k) AS place, count(*) OVER () AS n FROM (SELECT 'batch:' || doc_id % 37 AS k, {_C.format(t=0.5)} FROM s GROUP BY 1)),
+d AS (SELECT r, CAST('0x' || sha256('3:' || r || ':' || j)[1:13] AS BIGINT) % n + 1 AS place FROM (SELECT any_value(n) AS n FROM g), (SELECT unnest(range(200)) AS r), (SELECT unnest(range(n)) AS j FROM (SELECT any_value(n) AS n FROM g))),
+x AS (SELECT r, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM d JOIN g USING (place) GROUP BY r),
+m AS (SELECT tp / nullif(tp + fp, 0)::DOUBLE AS p, tp / nullif(tp + fn, 0)::DOUBLE AS c, 2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE AS f FROM x)
+SELECT {', '.join(f'round(quantile_cont({c}, {q}), 6) AS {name}_{end}' for c, name in (('p', 'precision'), ('c', 'recall'), ('f', 'f1')) for q, end in ((0.025, 'low'), (0.975, 'high')))} FROM m""")
 def cluster_bootstrap_ci(spark, sf):
-    b = evaluation.cluster_bootstrap(scored(spark, sf), "source", 0.5, 200, 3)
+    s = scored(spark, sf).withColumn("batch", F.col("doc_id") % 37)
+    b = evaluation.cluster_bootstrap(s, evaluation.identity_group("batch"), 0.5, 200, 3)
     return b.select(*[r6(F.col(c)).alias(c) for c in b.columns])
 
 
