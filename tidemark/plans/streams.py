@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.stats import r6
-from ..streaming import jobs
+from ..sources.shared import fresh_path
+from ..streaming import jobs, results
 from .registry import query
 
 
@@ -67,3 +68,30 @@ def stream_ordered_fold(spark, sf):
     e = _utc(_events(spark, sf)).select("user_id", "at")
     out = jobs.run(jobs.ordered_fold(e, "user_id", "at"), sink=lambda batch, k, path: batch.write.mode("append").parquet(path))
     return out.groupBy("user_id").agg(F.max("n").alias("n"), F.max("last").alias("last"))
+
+
+def arriving(spark, sf):
+    """The events as six files, five days each, where one event in ten comes a file late; as a stream of a file a batch."""
+    e = _utc(spark.read.parquet(f"{sf}/events.parquet"))
+    day = F.floor((F.unix_micros("at") - F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))) / 86_400_000_000)
+    e = e.select("user_id", "at", F.col("event_id").alias("id"), "value", (F.col("event_type") == "signup").alias("is_final"), (F.floor(day / 5) + F.when(F.col("event_id") % 10 == 3, 1).otherwise(0)).cast("int").alias("arrival"))
+    path = fresh_path(spark, "arrivals")
+    results.arrivals(e, path, "arrival")
+    return results.files(spark, path, e.drop("arrival").schema)
+
+
+@query("""WITH d AS (SELECT user_id, date_trunc('day', ts) AS day, ts, event_id, value, event_type = 'signup' AS final, max(ts) OVER () - INTERVAL '6 days' AS mark FROM events)
+SELECT user_id, CAST(epoch(day) AS BIGINT) AS start, count(*) AS n, round(CASE WHEN bool_or(final) THEN arg_max(value, (ts, event_id)) FILTER (final) ELSE sum(value) END, 6) AS value,
+CASE WHEN bool_or(final) THEN 'final' WHEN day + INTERVAL '1 day' <= any_value(mark) THEN 'closed' ELSE 'provisional' END AS status FROM d GROUP BY user_id, day""")
+def stream_final_results(spark, sf):
+    path, checkpoint = fresh_path(spark, "log"), fresh_path(spark, "offsets")
+    results.start(results.versions(arriving(spark, sf), "user_id", "at", "6 days", 86_400), path, checkpoint).awaitTermination()
+    return results.last_versions(spark.read.parquet(path), "user_id").withColumn("value", r6(F.col("value")))
+
+
+@query("""WITH m AS (SELECT max(ts) - INTERVAL '6 days' AS mark FROM events) SELECT CAST(epoch(time_bucket(INTERVAL '1 day', ts)) AS BIGINT) AS start, user_id, count(*) AS n, round(sum(value), 4) AS total FROM events, m
+GROUP BY 1, 2 HAVING time_bucket(INTERVAL '1 day', any_value(ts)) + INTERVAL '1 day' <= any_value(mark)""")
+def stream_closed_windows(spark, sf):
+    """Days in append mode over several files: each day is written once, when the watermark has passed it."""
+    out = jobs.run(jobs.tumbling(arriving(spark, sf), "at", "1 day", ["user_id"], "6 days"))
+    return out.select(F.floor(F.unix_micros("start") / 1_000_000).alias("start"), "user_id", "n", F.round("total", 4).alias("total"))
