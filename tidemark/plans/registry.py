@@ -12,6 +12,8 @@ def query(sql: str | None = None):
     """Register a function (spark, sf_dir) -> DataFrame under its name, with SQL that gives the same rows."""
 
     def add(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are named {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             SQL[f.__name__] = sql
