@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import assurance, extra, geometry, planning, replay, sampling, series, streams, training  # noqa: F401  (they register their queries)
+from .plans import assurance, extra, geometry, places, planning, replay, sampling, series, streams, training  # noqa: F401  (they register their queries)
 from .plans.registry import QUERIES, SQL
 
 FLAGSHIP = "scan_quality_decisions"

@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .boundary import write_derived  # noqa: F401  (with the other writers)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,15 +42,6 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_derived(df: DataFrame, path: str, protected: list[str], **options) -> None:
-    """Write Parquet (zstd) to path unless it lies in a protected root."""
-    clean = path.rstrip("/") + "/"
-    for root in protected:
-        if clean.startswith(root.rstrip("/") + "/"):
-            raise ValueError(f"{path} is in the protected root {root}")
-    df.write.mode("overwrite").option("compression", "zstd").options(**options).parquet(path)
-
-
 def write_partitioned(df: DataFrame, path: str, by: str) -> None:
     """One folder a value of by, as for manifests of decisions."""
     df.write.mode("overwrite").partitionBy(by).json(path)
