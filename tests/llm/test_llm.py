@@ -782,3 +782,13 @@ def test_pipeline(spark, rows, tmp_path, reference):
     kept = [(i, t) for i, t in kept if stays[i][2] and i != 2000]
     assert got == {i: (len(reference.encode_ordinary(t)), hashlib.sha256(t.encode()).hexdigest()) for i, t in kept}
     assert "shared line" in bad and 2000 not in got
+
+
+def test_minhash_tables_of_two_are_tried(spark):
+    """Document 1 is in 14 tables of three; the fifteenth, of 1 and 2 alone, is not among its greatest."""
+    rows = [(t, x, 3) for t in range(14) for x in (1, 100 + 2 * t, 101 + 2 * t)] + [(14, 1, 2), (14, 2, 2)] + [(15 + t, x, 3) for t in range(14) for x in (2, 200 + 2 * t, 201 + 2 * t)]
+    members = spark.createDataFrame(rows, "t long, x long, weight long")
+    placed = spark.createDataFrame([(x, x) for x in {r[1] for r in rows}], "doc_id long, comp long")
+    assert (1, 2) not in {tuple(sorted((r["x"], r["y"]))) for r in op5_minhash.stars(members, 14).collect()}
+    assert [tuple(r) for r in op5_minhash.twosomes(members, placed).collect()] == [(1, 2)]
+    assert op5_minhash.twosomes(members, placed.withColumn("comp", F.lit(1).cast("long"))).collect() == []

@@ -138,7 +138,7 @@ def fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def open_members(members: DataFrame, placed: DataFrame) -> DataFrame:
-    """doc_id of the documents of components that meet another in a table of more than the one pair that stars() has tried.
+    """doc_id of the documents of components that meet another in a table of more than two; those of two are twosomes().
     Tables are opened for components, a row each, so that a large group of copies doesn't come back once a table."""
     per = cut(members.join(placed.select(F.col("doc_id").alias("x"), "comp"), "x").groupBy("t", "comp").agg(F.count(F.lit(1)).alias("n")))
     left = per.groupBy("t").agg(F.sum("n").alias("n"), F.min("comp").alias("a"), F.max("comp").alias("z")).filter("n > 2 AND a < z").select("t")
@@ -146,6 +146,14 @@ def open_members(members: DataFrame, placed: DataFrame) -> DataFrame:
     return placed.join(comps, "comp", "left_semi").select("doc_id")
 
 
+def twosomes(members: DataFrame, placed: DataFrame) -> DataFrame:
+    """x, y (x < y) of different components that have a table for themselves: stars() tries such a pair only if the table is
+    among the greatest of one of them."""
+    two = members.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"), F.max("x").alias("y")).filter("n = 2").select("x", "y").distinct()
+    comp = lambda c: placed.select(F.col("doc_id").alias(c), F.col("comp").alias(f"{c}comp"))
+    return two.join(comp("x"), "x").join(comp("y"), "y").filter("xcomp <> ycomp").select("x", "y")
+
+
 def rare_pairs(texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
     """x, y of different comp, among the documents of sizes (doc_id, n, comp), that share a rare shingle where every pair at
     the threshold must: the rarest shingles of a set come first, and similar sets agree on one of the first few.
@@ -219,7 +227,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, halves:
     links = cut(verified(tried, texts, width, percent))
     placed = cut(ids.join(components(links), F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp")))
     sizes = cut(open_members(members, placed).join(placed, "doc_id").join(known.select("doc_id", "n"), "doc_id"))
-    rest = rare_pairs(texts, sizes, width, percent).join(tried, ["x", "y"], "left_anti").join(tried.select(F.col("x").alias("y"), F.col("y").alias("x")), ["x", "y"], "left_anti")
+    rest = rare_pairs(texts, sizes, width, percent).union(twosomes(members, placed)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    rest = rest.join(tried.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), ["x", "y"], "left_anti")
     rest = cut(like_enough(rest, known, percent))
     links = cut(links.union(verified(rest, texts, width, percent)).union(_shared_ids(full, own)))
     labels = components(links)
