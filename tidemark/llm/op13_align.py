@@ -82,7 +82,7 @@ class Side:
 class Pieces:
     """Both tokenizers behind one table of the pieces met so far, which holds the first `most` of them."""
 
-    def __init__(self, a: Side, b: Side, most: int = 500_000):
+    def __init__(self, a: Side, b: Side, most: int = 400_000):
         self.a, self.b, self.most, self.known, self.kept = a, b, most, {}, np.zeros(0, bool)
 
     def encode(self, texts: list[str | None]):
@@ -215,7 +215,7 @@ def align(texts: list[str | None], paths: tuple[str, str], width: int = 1024):
     return n_a, n_b, n_groups, n_links, _written(ids_a, cut_a, ids_b, cut_b, first_a, first_b, max(len(a.own), len(b.own))), pairs, times, bounds
 
 
-def aligned(docs: DataFrame, paths: tuple[str, str] | None = None, width: int = 1024, batch_bytes: int = 1 << 22) -> DataFrame:
+def aligned(docs: DataFrame, paths: tuple[str, str] | None = None, width: int = 1024, batch_bytes: int = 1 << 21) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs and times (distinct id pairs of the text's links, their numbers)."""
     import pyarrow as pa
 
