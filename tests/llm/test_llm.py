@@ -792,3 +792,17 @@ def test_minhash_tables_of_two_are_tried(spark):
     assert (1, 2) not in {tuple(sorted((r["x"], r["y"]))) for r in op5_minhash.stars(members, 14).collect()}
     assert [tuple(r) for r in op5_minhash.twosomes(members, placed).collect()] == [(1, 2)]
     assert op5_minhash.twosomes(members, placed.withColumn("comp", F.lit(1).cast("long"))).collect() == []
+
+
+def test_licenses_that_are_nearly_another(spark):
+    """Wording that a template needs is missing or replaced: no label. Complete, with numbers and punctuation: the label."""
+    zlib, unlicense = (next(t[1] for t in op8_license.TEMPLATES if t[0] == n) for n in ("zlib", "unlicense"))
+    plain = lambda t: re.sub(r"<<optional>>[^<]*<<end>>", "", t)
+    texts = {
+        "Creative Commons Attribution License": "", "Creative Commons Attribution ShareAlike 4.0 International License": "", "creative commons attribution-noncommercial 4.0 license": "cc-by-nc",
+        "a Creative Commons Attribution - Non Commercial - ShareAlike 3.0 License": "cc-by-nc", "creative commons noncommercial license": "",
+        plain(zlib): "zlib", plain(zlib).replace("altered from any", "altered in any"): "", plain(zlib)[: zlib.index("subject to")]: "", zlib.replace("<<optional>> 1 <<end>>", "1.").replace("<<optional>> 2 <<end>>", "2.").replace("<<optional>> 3 <<end>>", "3."): "zlib",
+        unlicense: "unlicense", unlicense.replace("public domain we", "domain we"): "", unlicense[: unlicense.index(" in jurisdictions")]: "",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in op8_license.scan(df).collect()} == dict(enumerate(texts.values()))

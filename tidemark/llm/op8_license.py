@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import Batch, prefix_hash, span_hash
+from .common import Batch, parts, prefix_hash, span_hash
 
 #: The base phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -34,13 +34,13 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and <<var 6>> disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall <<var 6>> be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software", "fee"),
     ("bsd-3", f"{_BSD_OPEN} {_BSD_THIRD} {_BSD_END}", "redistributions"),
     ("bsd-2", f"{_BSD_OPEN} {_BSD_END}", "redistributions"),
-    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "commercial"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions <<optional>> 1 <<end>> the origin of this software must not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required <<optional>> 2 <<end>> altered source versions must be plainly marked as such and must not be misrepresented as being the original software <<optional>> 3 <<end>> this notice may not be removed or altered from any source distribution", "commercial"),
     ("apache-2", "licensed under the apache license version 2 0 <<optional>> the license <<end>> you may not use this <<var 3>> except in compliance with the license you may obtain a copy of the license at <<optional>> http <<optional>> s <<end>> <<end>> <<optional>> https <<end>> <<optional>> www <<end>> apache org licenses license 2 0 <<optional>> unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license <<end>>", "apache"),
     ("gpl", _GNU.format("general public license"), "redistribute"),
     ("lgpl", _GNU.format("lesser general public license"), "redistribute"),
     ("agpl", _GNU.format("affero general public license"), "redistribute"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at <<optional>> http <<end>> <<optional>> https <<end>> <<optional>> www <<end>> mozilla org mpl 2 0", "mozilla"),
-    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", "unencumbered"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the public domain we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software", "unencumbered"),
     ("apache-2", "spdx license identifier apache 2 0", "spdx"),
     ("mit", "spdx license identifier mit", "spdx"),
     # openings and notices that name a licence without its wording
@@ -48,7 +48,8 @@ TEMPLATES = [
     ("bsd-opening", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution"),
     ("apache-2-notice", "licensed under the apache license version 2 0", "apache"),
     ("mit-notice", "<<optional>> is <<end>> <<optional>> released <<end>> <<optional>> licensed <<end>> <<optional>> distributed <<end>> under the mit license", "mit"),
-    ("cc-by-nc", "creative commons attribution <<optional>> non commercial <<end>> <<optional>> noncommercial <<end>> <<var 2>> license", "commons"),
+    ("cc-by-nc", "creative commons attribution non commercial <<var 4>> license", "commons"),
+    ("cc-by-nc", "creative commons attribution noncommercial <<var 4>> license", "noncommercial"),
     ("copyright", "copyright <<optional>> c <<end>> <<var 8>> all rights reserved", "copyright"),
 ]
 
@@ -148,7 +149,7 @@ def scan(docs: DataFrame, templates=None, phrases=None) -> DataFrame:
         automata = [compile_template(*t) for t in templates]
         exact = [(hash_words(p.split()), label) for p, label in phrases.items()]
         for b in batches:
-            yield from (scan_batch(pa, part, automata, exact) for part in (b.slice(i, 500) for i in range(0, b.num_rows, 500)))
+            yield from (scan_batch(pa, part, automata, exact) for part in parts(b))
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
