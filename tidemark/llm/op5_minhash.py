@@ -1,14 +1,15 @@
 """MinHash near-dedup with tensored bands.
 
 A document's set is hashed into two small collections of half-bands (halves each, of rows minhashes). Table keys are the
-pairs of one half from each: halves * halves tables from 2 * halves * rows minhashes. Documents meet first on the halves
-of the first collection, and only those that share one are expanded by the second, which leaves the tables the same and
-saves most of their rows. Two sets with Jaccard 0.8 share no table with probability 2 * 0.36 ** 14 = 1.2e-6.
-
-Equal sets are one class from the start. Tables with the same members count once. In each table all members are verified
-on their full sets against the one that meets most others, so groups of near copies cost one pair a member instead of all
-pairs. Where a table still holds several components, its members meet once more on their rarest shingles, an exact
-condition for the threshold, and only those pairs are verified. So no link between classes that meet in a table is lost.
+pairs of one half from each: halves * halves tables from 2 * halves * rows minhashes. Two sets with Jaccard 0.8 share no
+table with probability 2 * 0.36 ** 14 = 1.2e-6.
+
+Equal sets are one class from the start. The tables are used in two rounds. First those on the diagonal (halves of equal
+place): all members of one are verified on their full sets against the one that meets most others, so groups of near copies
+cost one pair a member instead of all pairs. Then all tables, for the components that this leaves: only halves that stand
+in several components are expanded by the second collection, and a component counts once a table. Where a table holds
+several components, their documents meet on their rarest shingles, an exact condition for the threshold, and only those
+pairs are verified. So no link between classes that meet in a table is lost.
 Everything is a join or an aggregation that combines before it shuffles.
 
 Null and empty texts have empty sets, link with nothing and are kept. Rows without doc_id link with nothing: null
@@ -17,6 +18,8 @@ component, kept. Rows that repeat a doc_id are one document as to links. Other c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -82,20 +85,31 @@ def _halves(first: int, halves: int, rows: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(h), *[F.col("mins")[h * rows + r] for r in range(rows)]) for h in range(first, first + halves)])
 
 
-def tables(classes: DataFrame, halves: int, rows: int) -> DataFrame:
-    """t, x, weight: the members x of each distinct table of two or more; weight: members times the tables with the same ones."""
-    first = classes.select(F.col("rep").alias("x"), F.explode(_halves(0, halves, rows)).alias("a"))
-    shared = first.join(first.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a"), "a")
-    second = classes.select(F.col("rep").alias("x"), _halves(halves, halves, rows).alias("b"))
-    keyed = shared.join(second, "x").select("x", "a", F.explode("b").alias("b")).select("x", F.xxhash64("a", "b").alias("t"))
+def _both(halves: int, rows: int) -> list[Column]:
+    return [_halves(0, halves, rows).alias("a"), _halves(halves, halves, rows).alias("b")]
+
+
+def diagonal(classes: DataFrame, halves: int, rows: int) -> DataFrame:
+    """t, x, weight: the members x of the tables of two or more among those that pair the halves of equal place; tables with
+    the same members count once. weight: members times the tables with the same ones."""
+    pairs = F.arrays_zip(*_both(halves, rows))
+    keyed = classes.select(F.col("rep").alias("x"), F.explode(pairs).alias("h")).select("x", F.xxhash64("h.a", "h.b").alias("t"))
     each = keyed.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("x")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(9), "x")).alias("h2"))
     distinct = each.filter("n > 1").groupBy("n", "h1", "h2").agg(F.min("t").alias("t"), (F.count(F.lit(1)) * F.col("n")).alias("weight")).select("t", "weight")
     return keyed.join(distinct, "t")
 
 
+def tables(placed: DataFrame) -> DataFrame:
+    """t, x, comp: the members x of all tables whose first half stands in several components, from placed (x, comp, a, b).
+    A table of several components has such a half, so it is here whole; a component that meets no other has no row."""
+    first = placed.select("x", "comp", F.explode("a").alias("a"))
+    between = first.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("a")
+    return first.join(between, "a").join(placed.select("x", "b"), "x").select("x", "comp", "a", F.explode("b").alias("b")).select("x", "comp", F.xxhash64("a", "b").alias("t"))
+
+
 def stars(members: DataFrame, most: int) -> DataFrame:
     """x, y: each member beside the member of its table that meets most others over all tables: copies beside what they are
-    copies of. A member takes part in the `most` tables of greatest weight; what stars leave unlinked, rare_pairs() finds.
+    copies of. A member takes part in the `most` tables of greatest weight; what stars leave unlinked, alone() and rare_pairs() find.
     """
     meets = members.groupBy("x").agg(F.sum("weight").alias("meets"))
     best = members.withColumn("k", F.row_number().over(W.partitionBy("x").orderBy(F.col("weight").desc(), "t"))).filter(F.col("k") <= most)
@@ -137,21 +151,32 @@ def fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
 
 
-def open_members(members: DataFrame, placed: DataFrame) -> DataFrame:
-    """doc_id of the documents of components that meet another in a table of more than two; those of two are twosomes().
-    Tables are opened for components, a row each, so that a large group of copies doesn't come back once a table."""
-    per = cut(members.join(placed.select(F.col("doc_id").alias("x"), "comp"), "x").groupBy("t", "comp").agg(F.count(F.lit(1)).alias("n")))
-    left = per.groupBy("t").agg(F.sum("n").alias("n"), F.min("comp").alias("a"), F.max("comp").alias("z")).filter("n > 2 AND a < z").select("t")
-    comps = per.join(left, "t").select("comp").distinct()
-    return placed.join(comps, "comp", "left_semi").select("doc_id")
+def meetings(keyed: DataFrame) -> DataFrame:
+    """t, comp, n, x, y: how many rows of keyed (t, x, comp) a component has in a table, and its smallest and largest x. One row
+    however many copies a component holds, so a large group doesn't come back once a document and table."""
+    return keyed.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"), F.max("x").alias("y"))
+
+
+def _open(met: DataFrame) -> DataFrame:
+    """t, n, x, y of the tables of met (from meetings()) in which several components stand."""
+    each = met.groupBy("t").agg(F.sum("n").alias("n"), F.min("x").alias("x"), F.max("y").alias("y"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return each.filter("lo < hi")
+
+
+def open_members(met: DataFrame, placed: DataFrame) -> DataFrame:
+    """The rows of placed (comp, ...) whose component meets another in a table of more than two; tables of two are alone()."""
+    comps = met.join(_open(met).filter("n > 2").select("t"), "t").select("comp").distinct()
+    return placed.join(comps, "comp", "left_semi")
+
+
+def alone(met: DataFrame) -> DataFrame:
+    """x, y (x < y) of different components that have a table for themselves: no third member can have been their centre."""
+    return _open(met).filter("n = 2").select("x", "y").distinct()
 
 
 def twosomes(members: DataFrame, placed: DataFrame) -> DataFrame:
-    """x, y (x < y) of different components that have a table for themselves: stars() tries such a pair only if the table is
-    among the greatest of one of them."""
-    two = members.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"), F.max("x").alias("y")).filter("n = 2").select("x", "y").distinct()
-    comp = lambda c: placed.select(F.col("doc_id").alias(c), F.col("comp").alias(f"{c}comp"))
-    return two.join(comp("x"), "x").join(comp("y"), "y").filter("xcomp <> ycomp").select("x", "y")
+    """alone() for members (t, x) and placed (doc_id, comp)."""
+    return alone(meetings(members.join(placed.select(F.col("doc_id").alias("x"), "comp"), "x")))
 
 
 def rare_pairs(texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -212,6 +237,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def linked(pairs: DataFrame, known: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs that sizes and bitmaps leave, and the links among them. texts gives doc_id and text for a table of doc_id."""
+    pairs = cut(pairs)
+    tried = cut(like_enough(pairs, fetched(known, _ends(pairs)), percent))
+    return tried, cut(verified(tried, texts(_ends(tried)), width, percent))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, halves: int = 14, rows: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs."""
     signed = cut(signatures(docs, width, halves, rows))
@@ -219,19 +259,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, halves:
     own = ["n_shingles", "f1", "f2"]
     classes = cut(full.groupBy(*own).agg(F.min("doc_id").alias("rep"), F.first("mins").alias("mins"), F.first("bits").alias("bits")))
     known = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), "bits")
-    members = cut(tables(classes.select("rep", "mins"), halves, rows))
-    ids = members.select(F.col("x").alias("doc_id")).distinct()
-    known = cut(known.join(ids, "doc_id", "left_semi"))
-    texts = cut(fetched(docs.select("doc_id", "text"), ids))
-    tried = cut(like_enough(stars(members, halves), known, percent))
-    links = cut(verified(tried, texts, width, percent))
-    placed = cut(ids.join(components(links), F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("comp", "doc_id").alias("comp")))
-    sizes = cut(open_members(members, placed).join(placed, "doc_id").join(known.select("doc_id", "n"), "doc_id"))
-    rest = rare_pairs(texts, sizes, width, percent).union(twosomes(members, placed)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    rest = rest.join(tried.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), ["x", "y"], "left_anti")
-    rest = cut(like_enough(rest, known, percent))
-    links = cut(links.union(verified(rest, texts, width, percent)).union(_shared_ids(full, own)))
-    labels = components(links)
+    texts = docs.select("doc_id", "text")
+    tried, links = linked(stars(cut(diagonal(classes, halves, rows)), halves), known, lambda ids: cut(fetched(texts, ids)), width, percent)
+    labels = components(links).withColumnRenamed("node", "x")
+    placed = classes.select(F.col("rep").alias("x"), F.col("n_shingles").alias("n"), *_both(halves, rows)).join(labels, "x", "left")
+    placed = cut(placed.withColumn("comp", F.coalesce("comp", "x")))
+    met = cut(meetings(tables(placed)))
+    sizes = cut(open_members(met, placed.select(F.col("x").alias("doc_id"), "n", "comp")))
+    pairs = cut(alone(met))
+    open_texts = cut(fetched(texts, sizes.select("doc_id").union(_ends(pairs)).distinct()))
+    rest = _ordered(rare_pairs(fetched(open_texts, sizes.select("doc_id")), sizes, width, percent).union(pairs))
+    _, more = linked(rest.join(_ordered(tried), ["x", "y"], "left_anti"), known, lambda _: open_texts, width, percent)
+    labels = components(cut(links.union(more).union(_shared_ids(full, own))))
     found = classes.select(*own, "rep").join(labels, F.col("rep") == F.col("node"), "left").select(*own, F.coalesce("comp", "rep").alias("component"))
     out = signed.drop("mins", "bits").join(found, own, "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
