@@ -794,6 +794,33 @@ def test_minhash_tables_of_two_are_tried(spark):
     assert op5_minhash.twosomes(members, placed.withColumn("comp", F.lit(1).cast("long"))).collect() == []
 
 
+def test_minhash_second_round(spark):
+    """Tables of one component are closed; in open ones each component sends one document, and what joined since is one."""
+    keyed = [(1, 10, 10), (1, 11, 10), (1, 20, 20), (2, 10, 10), (2, 11, 10), (3, 20, 20), (3, 30, 30), (4, 11, 10), (4, 20, 20), (4, 30, 30)]
+    met = op5_minhash.meetings(spark.createDataFrame(keyed, "t long, x long, comp long"))
+    assert sorted(map(tuple, op5_minhash.leaders(met).collect())) == [(1, 10, 3), (1, 20, 3), (3, 20, 2), (3, 30, 2), (4, 11, 3), (4, 20, 3), (4, 30, 3)]
+    assert [tuple(r) for r in op5_minhash.alone(met).collect()] == [(20, 30)]
+    placed = spark.createDataFrame([(10, 10), (11, 10), (20, 10), (30, 30)], "x long, comp long")
+    now = op5_minhash.meetings_of(met, placed)
+    assert sorted((r["t"], r["comp"], r["n"]) for r in now.collect()) == [(1, 10, 3), (3, 10, 1), (3, 30, 1), (4, 10, 2), (4, 30, 1)]
+    opened = op5_minhash.open_members(now, placed.withColumnRenamed("x", "doc_id"))
+    assert sorted(r["doc_id"] for r in opened.collect()) == [10, 11, 20, 30]
+
+
+def test_minhash_clusters_round_the_threshold(spark):
+    """Copies of three texts with so many edits that part of the pairs of a cluster are links and part are not."""
+    rng, rows = random.Random(5), []
+    for c in range(3):
+        base = [f"c{c}w{i}" for i in range(120)]
+        for k in range(40):
+            words = base[:]
+            for at in rng.sample(range(120), rng.randint(1, 4)):
+                words[at] = f"e{c}x{rng.randint(0, 9)}y{at}"
+            rows.append((1000 - 40 * c - k, " ".join(words)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(op5_minhash.near_duplicates(d), "n_shingles", "component_id", "kept") == near(rows, 5, 80)
+
+
 def test_licenses_that_are_nearly_another(spark):
     """Wording that a template needs is missing or replaced: no label. Complete, with numbers and punctuation: the label."""
     zlib, unlicense = (next(t[1] for t in op8_license.TEMPLATES if t[0] == n) for n in ("zlib", "unlicense"))

@@ -7,8 +7,8 @@ table with probability 2 * 0.36 ** 14 = 1.2e-6.
 Equal sets are one class from the start. The tables are used in two rounds. First those on the diagonal (halves of equal
 place): all members of one are verified on their full sets against the one that meets most others, so groups of near copies
 cost one pair a member instead of all pairs. Then all tables, for the components that this leaves: only halves that stand
-in several components are expanded by the second collection, and a component counts once a table. Where a table holds
-several components, their documents meet on their rarest shingles, an exact condition for the threshold, and only those
+in several components are expanded by the second collection, and a component counts once a table. There one document of
+each component meets the table's centre. Where a table still holds several, their documents meet on their rarest shingles, an exact condition for the threshold, and only those
 pairs are verified. So no link between classes that meet in a table is lost.
 Everything is a join or an aggregation that combines before it shuffles.
 
@@ -163,6 +163,24 @@ def _open(met: DataFrame) -> DataFrame:
     return each.filter("lo < hi")
 
 
+def meetings_of(met: DataFrame, placed: DataFrame) -> DataFrame:
+    """met again, for the open tables, with the present components of placed (x, comp)."""
+    now = placed.select("x", F.col("comp").alias("now"))
+    rows = met.join(_open(met).select("t"), "t", "left_semi").join(now, "x")
+    return rows.groupBy("t", F.col("now").alias("comp")).agg(F.sum("n").alias("n"), F.min("x").alias("x"), F.max("y").alias("y"))
+
+
+def leaders(met: DataFrame) -> DataFrame:
+    """t, x, weight for stars(): in each open table one document of each component; weight: the table's members."""
+    return met.join(_open(met).select("t", F.col("n").alias("weight")), "t").select("t", "x", "weight")
+
+
+def joined_up(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """placed (x, ...) with comp, the smallest x that links reach."""
+    labels = components(links).withColumnRenamed("node", "x")
+    return placed.drop("comp").join(labels, "x", "left").withColumn("comp", F.coalesce("comp", "x"))
+
+
 def open_members(met: DataFrame, placed: DataFrame) -> DataFrame:
     """The rows of placed (comp, ...) whose component meets another in a table of more than two; tables of two are alone()."""
     comps = met.join(_open(met).filter("n > 2").select("t"), "t").select("comp").distinct()
@@ -261,10 +279,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, halves:
     known = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), "bits")
     texts = docs.select("doc_id", "text")
     tried, links = linked(stars(cut(diagonal(classes, halves, rows)), halves), known, lambda ids: cut(fetched(texts, ids)), width, percent)
-    labels = components(links).withColumnRenamed("node", "x")
-    placed = classes.select(F.col("rep").alias("x"), F.col("n_shingles").alias("n"), *_both(halves, rows)).join(labels, "x", "left")
-    placed = cut(placed.withColumn("comp", F.coalesce("comp", "x")))
+    placed = cut(joined_up(classes.select(F.col("rep").alias("x"), F.col("n_shingles").alias("n"), *_both(halves, rows)), links))
     met = cut(meetings(tables(placed)))
+    again = _ordered(stars(leaders(met), halves)).join(_ordered(tried), ["x", "y"], "left_anti")
+    once, more = linked(again, known, lambda ids: cut(fetched(texts, ids)), width, percent)
+    tried, links = _ordered(tried).union(once), cut(links.union(more))
+    placed = cut(joined_up(placed, links))
+    met = cut(meetings_of(met, placed))
     sizes = cut(open_members(met, placed.select(F.col("x").alias("doc_id"), "n", "comp")))
     pairs = cut(alone(met))
     open_texts = cut(fetched(texts, sizes.select("doc_id").union(_ends(pairs)).distinct()))
