@@ -1,73 +1,34 @@
-"""Provisional results that final ones replace: a keyed state with event-time timers, written as an append-only log.
+"""Provisional results that final ones replace: a keyed state with an event-time end, written as an append-only log.
 
 Rows of a key (an entity and a period) come as they are found, some of them late, some final. Each batch appends a new
 version of the results it changed; readers take the last version of a key. When the watermark passes the end of the period,
-the result is closed and its state goes, so state holds open periods alone; rows later than that are dropped. The state, the
-offsets and the log live in folders that a restarted job finds again: it goes on after the last finished batch.
+the result is closed and its state goes, so state holds open periods alone; rows later than that are dropped. The state is
+that of a streaming aggregation in update mode, so no row or key passes through Python. What it drops it doesn't report:
+closed results are the last versions in the log of the periods that end with the batch, which are read that once. The state,
+the offsets and the log live in folders that a restarted job finds again: it goes on after the last finished batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "n long, total double, final_us long, final_id long, final double, version long"
-LOG = "n long, value double, status string, version long"
-
-
-class Results(StatefulProcessor):
-    """For each key (entity, period start): rows so far, their total, and the last final row by (time, id)."""
-
-    def __init__(self, entity: str, kind: str, period_s: int):
-        self.entity, self.kind, self.period = entity, kind, period_s
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.held = handle, handle.getValueState("held", STATE)
-
-    def _end_ms(self, key) -> int:
-        return (int(key[1]) + self.period) * 1000
-
-    def _row(self, key, held: tuple, closed: bool) -> Row:
-        n, total, _, final_id, final, version = held
-        status = "final" if final_id is not None else "closed" if closed else "provisional"
-        return Row(**{self.entity: key[0], "start": key[1], "n": n, "value": total if final_id is None else final, "status": status, "version": version})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.held.get() if self.held.exists() else None
-        n, total, us, final_id, final, version = held or (0, 0.0, None, None, None, 0)
-        if held is None:
-            self.handle.registerTimer(self._end_ms(key))
-        for r in rows:
-            n, total = n + 1, total + r.value
-            if r.is_final and (final_id is None or (r.us, r.id) > (us, final_id)):
-                us, final_id, final = r.us, r.id, r.value
-        held = (n, total, us, final_id, final, version + 1)
-        self.held.update(held)
-        yield self._row(key, held, False)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        n, total, us, final_id, final, version = self.held.get()
-        self.held.clear()
-        yield self._row(key, (n, total, us, final_id, final, version + 1), True)
-
-    def close(self) -> None:
-        pass
 
 
 def versions(rows: DataFrame, entity: str, at: str, late: str, period_s: int) -> DataFrame:
-    """The log: entity, start (of the period, seconds), n, value, status, version. rows: entity, at, id, value, is_final.
+    """What start() writes as the log: entity, start (of the period, seconds), n, value, status, version. rows: entity, at, id,
+    value, is_final.
 
-    value is the total of the rows, or the value of the final row with the greatest time and id.
+    value is the total of the rows, or the value of the final row with the greatest time and id. Here status knows no closed
+    ones, and instead of the version come end (of the period, seconds) and mark, the watermark that the rows ask for.
     """
-    kind = dict(rows.dtypes)[entity]
-    us = F.unix_micros(at)
-    start = us - F.pmod(us, F.lit(period_s * 1_000_000))
-    keyed = rows.withWatermark(at, late).select(entity, F.floor(start / 1_000_000).alias("start"), at, us.alias("us"), "id", F.coalesce("value", F.lit(0.0)).alias("value"), F.coalesce("is_final", F.lit(False)).alias("is_final"))
-    return keyed.groupBy(entity, "start").transformWithState(Results(entity, kind, period_s), f"{entity} {kind}, start long, {LOG}", "append", "eventTime")
+    final = F.when(F.coalesce("is_final", F.lit(False)), F.struct(F.unix_micros(at).alias("us"), "id", F.coalesce("value", F.lit(0.0)).alias("value")))
+    kept = rows.withWatermark(at, late).groupBy(F.window(at, f"{period_s} seconds").alias("w"), entity)
+    kept = kept.agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("value", F.lit(0.0))).alias("total"), F.max(final).alias("final"), F.max(at).alias("last"))
+    second = lambda c: F.unix_seconds(F.col(c))
+    status = F.when(F.col("final").isNull(), "provisional").otherwise("final")
+    return kept.select(entity, second("w.start").alias("start"), "n", F.coalesce("final.value", "total").alias("value"), status.alias("status"), second("w.end").alias("end"), (F.col("last") - F.expr(f"INTERVAL {late}")).alias("mark"))
 
 
 def last_versions(log: DataFrame, entity: str) -> DataFrame:
@@ -75,13 +36,34 @@ def last_versions(log: DataFrame, entity: str) -> DataFrame:
     return log.groupBy(entity, "start").agg(F.max_by(F.struct("n", "value", "status"), "version").alias("_last")).select(entity, "start", "_last.*")
 
 
+def _append(batch: DataFrame, k: int, path: str) -> None:
+    """The versions of batch k, below batch=k: kind=new has what the batch changed, kind=closed the results that end with it. A
+    batch that runs again replaces what it wrote. The folders below are those of the periods' ends, so that closing a period
+    reads that period alone. _marks has the watermark after each batch, by which the next one closes.
+    """
+    spark, entity, own = batch.sparkSession, batch.columns[0], f"{path}/batch={k}/kind=new"
+    batch.withColumn("version", F.lit(2 * k + 1).cast("long")).write.mode("overwrite").partitionBy("end").parquet(own)
+    mark = lambda b: spark.read.parquet(f"{path}/_marks/batch={b}").first()["us"] if b >= 0 else None
+    now, before = mark(k - 1), mark(k - 2)
+    fields = batch.withColumn("version", F.lit(0).cast("long")).schema
+    log = spark.read.schema(fields).option("basePath", path).parquet(f"{path}/batch=*/kind=new")
+    after = log.filter(F.col("batch") == k).agg(F.greatest(F.max(F.unix_micros("mark")), F.lit(now).cast("long")).alias("us"))
+    if now is not None and now != before:
+        due = log.filter((F.col("end") <= now // 1_000_000) & (F.lit(before is None) | (F.col("end") > (before or 0) // 1_000_000)) & (F.col("batch") <= k))
+        last = due.groupBy(entity, "start", "end").agg(F.max_by(F.struct("n", "value", "status", "mark"), "version").alias("_last"))
+        status = F.when(F.col("_last.status") == "final", "final").otherwise("closed").alias("status")
+        closed = last.select(entity, "start", "_last.n", "_last.value", status, "end", "_last.mark", F.lit(2 * k + 2).cast("long").alias("version"))
+        closed.write.mode("overwrite").partitionBy("end").parquet(f"{path}/batch={k}/kind=closed")
+    after.coalesce(1).write.mode("overwrite").parquet(f"{path}/_marks/batch={k}")
+
+
 def start(log: DataFrame, path: str, checkpoint: str):
     """Append the versions to path, resuming from checkpoint if that has been used before."""
     spark = log.sparkSession
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     try:
-        return log.writeStream.trigger(availableNow=True).outputMode("append").option("checkpointLocation", checkpoint).format("parquet").option("path", path).start()
+        return log.writeStream.trigger(availableNow=True).outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(lambda batch, k: _append(batch, k, path)).start()
     finally:
         if before is None:
             spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
@@ -92,10 +74,10 @@ def start(log: DataFrame, path: str, checkpoint: str):
 def arrivals(events: DataFrame, path: str, arrival: str) -> None:
     """events as files in order of arrival: a file for each value of the column (small whole numbers), the later the younger.
 
-    The stream reads files by age, so each is written after the one before.
+    The stream reads files by age, so each is written after the one before. Tasks share the search for its rows; one writes it.
     """
     for (k,) in sorted(tuple(r) for r in events.select(arrival).distinct().collect()):
-        events.filter(F.col(arrival) == k).drop(arrival).coalesce(1).write.mode("append").parquet(path)
+        events.filter(F.col(arrival) == k).drop(arrival).repartition(1).write.mode("append").parquet(path)
 
 
 def files(spark: SparkSession, path: str, schema) -> DataFrame:
