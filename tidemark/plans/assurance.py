@@ -56,7 +56,7 @@ def stale_plan_flags(spark, sf):
 def guarded_plan(spark, sf):
     """A plan whose source is as it was: every row passes the guard, which any difference would stop."""
     now, li = _shards(spark, sf)
-    planned = li.repartition(3, "l_partkey").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), digests.multiset(F.col("_r")).alias("parts"))
+    planned = li.repartition("l_partkey").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), digests.multiset(F.col("_r")).alias("parts"))
     header = table(spark, sf, "region").limit(1).select(F.lit("v2").alias("plan_version"), F.lit("orders").alias("dataset"))
     rows = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 2).alias("half"))
     return guards.guarded(rows, guards.drift(planned, now, "l_orderkey", _FIELDS), guards.header_faults(header, ["v2", "v3"], "orders"))
