@@ -47,6 +47,8 @@ def rotation_step(state: tuple, q: np.ndarray, dt: np.ndarray, o: dict) -> tuple
 
 
 STEPS = {"vector": vector_step, "rotation": rotation_step}
+#: Rows that a filter takes at once, whatever the session's Arrow batches are: what Python holds is in proportion to them.
+STEP_ROWS = 1024
 
 
 def along(kind: str, x: np.ndarray, starts: np.ndarray, lengths: np.ndarray, dt: np.ndarray, options: dict, carried: tuple | None) -> tuple[np.ndarray, tuple | None]:
@@ -151,7 +153,8 @@ def _streamed(df: DataFrame, by: str, order: str, run, more: tuple[str, str] | N
     plain = [f"_{i}" for i in range(len(names))]
 
     def renamed(batches):
-        for b in run(pa.RecordBatch.from_arrays(b.columns, names[: b.num_columns]) for b in batches):
+        sliced = (b.slice(i, STEP_ROWS) for b in batches for i in range(0, b.num_rows, STEP_ROWS))
+        for b in run(pa.RecordBatch.from_arrays(b.columns, names[: b.num_columns]) for b in sliced):
             yield pa.RecordBatch.from_arrays(b.columns, plain)
 
     ordered = _ordered(df, by, order).toDF(*plain[: len(df.columns)])
