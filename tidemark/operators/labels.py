@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranking import quantiles
+
 
 def precedence(sources: list[tuple[str, Column, Column]]) -> Column:
     """struct(source, value, weight) of the first source that has a value; all null if none has."""
@@ -27,9 +29,9 @@ def sampling_weights(df: DataFrame, group: str, low: float = 0.25, high: float =
 
 def quantile_tiers(df: DataFrame, score: str, passing: str, clean: float = 0.67, hard: float = 0.2) -> DataFrame:
     """df with tier: blocked if it doesn't pass, else by the score's quantiles over passing rows."""
-    cuts = df.filter(passing).agg(F.percentile(score, F.lit(clean)).alias("_hi"), F.percentile(score, F.lit(hard)).alias("_lo"))
-    tier = F.when(~F.col(passing), "blocked").when(F.col(score) >= F.col("_hi"), "clean").when(F.col(score) <= F.col("_lo"), "hard_negative").otherwise("review")
-    return df.crossJoin(F.broadcast(cuts)).withColumn("tier", tier).drop("_hi", "_lo")
+    high, low = (F.lit(q).cast("double") for q in quantiles(df.filter(passing), F.col(score), [clean, hard]))
+    tier = F.when(~F.col(passing), "blocked").when(F.col(score) >= high, "clean").when(F.col(score) <= low, "hard_negative").otherwise("review")
+    return df.withColumn("tier", tier)
 
 
 def latest(df: DataFrame, key: str, *order) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import hashing, ladders
-from ..functions.stats import percentile, r6, ratio
+from ..functions.stats import r6, ratio
 from ..operators import control, intervals, labels, ranking, validation
 from ..sources.tables import table
 from .registry import query
@@ -119,9 +119,9 @@ def registry_status(spark, sf):
 SELECT l_returnflag, round(bytes / rate + 0.02 * files, 4) AS eta, round(0.75 * (bytes / rate + 0.02 * files), 4) AS low, round(1.4 * (bytes / rate + 0.02 * files), 4) AS high FROM b, h""")
 def eta_estimate(spark, sf):
     li = table(spark, sf, "lineitem")
-    rate = li.agg(percentile(F.col("l_extendedprice") / F.col("l_quantity"), 0.5).alias("rate"))
-    b = li.groupBy("l_returnflag").agg(F.sum("l_extendedprice").alias("bytes"), F.count(F.lit(1)).alias("files")).crossJoin(F.broadcast(rate))
-    eta = F.col("bytes") / F.col("rate") + 0.02 * F.col("files")
+    (rate,) = ranking.quantiles(li, F.col("l_extendedprice") / F.col("l_quantity"), [0.5])
+    b = li.groupBy("l_returnflag").agg(F.sum("l_extendedprice").alias("bytes"), F.count(F.lit(1)).alias("files"))
+    eta = F.col("bytes") / F.lit(rate).cast("double") + 0.02 * F.col("files")
     return b.select("l_returnflag", F.round(eta, 4).alias("eta"), F.round(0.75 * eta, 4).alias("low"), F.round(1.4 * eta, 4).alias("high"))
 
 
