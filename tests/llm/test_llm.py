@@ -246,6 +246,31 @@ def test_spelling_order_is_the_same_at_any_size(spark):
         assert got[i][0] == pytest.approx(w, abs=0.35 if i < 200 else 2)  # of unseen words, seeds alone differ by up to 1.3
 
 
+@pytest.mark.parametrize("class_bits, common_bits", [(0, 20), (3, 20), (0, 0), (3, 2)])
+def test_lm_every_word_is_a_context_and_a_dish(spark, class_bits, common_bits):
+    """bem and dem are equally frequent and share an ending; only the word before tells them apart, be it a class (at 3 bits) or not."""
+    texts = ["zuq bem"] * 40 + ["xoq dem"] * 40 + ["zuq zuq zuq"] * 60 + ["xoq xoq xoq"] * 60
+    held = ["zuq bem", "zuq dem", "xoq dem", "xoq bem"]
+    ids = lambda test: (i for i in range(10**6) if (zlib.crc32(str(i).encode()) % 5 == 1) == test)
+    rows = [*zip(ids(False), texts), *zip(ids(True), held)]
+    got = {r["doc_id"]: r["score"] for r in op2_lm.score(spark.createDataFrame(rows, "doc_id long, text string"), class_bits=class_bits, common_bits=common_bits).collect()}
+    right, wrong, right_too, wrong_too = (got[i] for i, _ in rows[len(texts) :])
+    assert right > wrong + 1 and right_too > wrong_too + 1
+
+
+def test_contexts_are_distributions():
+    rng = np.random.default_rng(2)
+    contexts, dishes, prior = np.array([5, 6], np.uint64), np.arange(1, 51, dtype=np.uint64), rng.dirichlet(np.ones(50))
+    for n in (0, 1, 7, 3000):
+        seen = rng.choice(50, n, p=np.sort(prior)[::-1])
+        train = np.repeat([True, False], [n, 50])
+        which = np.append(seen, np.arange(50))
+        p = op2_lm.in_context(contexts, dishes, np.zeros(n + 50, np.int64), which, np.log10(prior[which]), train, 8, 4, 1)
+        assert (10.0 ** p[n:]).sum() == pytest.approx(1)
+    two = op2_lm.in_context(contexts, dishes, np.repeat([0, 1], n + 50), np.tile(which, 2), np.tile(np.log10(prior[which]), 2), np.append(train, np.zeros(n + 50, bool)), 8, 4, 1)
+    assert two[: n + 50] == pytest.approx(p) and two[-50:] == pytest.approx(np.log10(prior))  # a context without customers adds nothing
+
+
 def test_lm_edges(spark, empty):
     assert op2_lm.score(empty).count() == 0
     twice = spark.createDataFrame([(None, "a b"), (None, None), (7, "x"), (7, "x"), (7, "y x")], "doc_id long, text string").withColumn("version", F.lit("v")).withColumn("h", F.lit(0))

@@ -2,12 +2,16 @@
 
 Common words (at least 1 / 2 ** class_bits of the training tokens each, so at most 2 ** class_bits of them) are classes of
 their own; all other words are rare and share classes by their last two bytes (ENDINGS of them), and the end of a text has
-a class too. Two models are learnt:
+a class too. Three models are learnt:
 
 * classes: a restaurant for each context (the last class before that isn't rare, which carries the language over rare
   words), all sharing one parent restaurant over classes, with a uniform base;
 * spellings of rare words: a restaurant for each four previous bytes, sharing parents for the last three, and so on to one
   root with a uniform base. Above it a restaurant over the rare words of each ending has the spelling model as its base.
+* words in context (see places and in_context): a restaurant for each rare word, over all words and the end that follow it,
+  and one for each class before and class of rare words, over those words. Their base is what the first two models say.
+  Classes before classes are in the first model already. So every word is a context, and every word a dish of it. The first
+  two models learn from all tokens, and not from the tables of this one.
 
 Seating is sampled: in each sweep, level by level, the customers of each dish of each restaurant are taken out and seated
 again one after another by the Chinese-restaurant rule, given everybody else; each new table sends a customer to the
@@ -20,7 +24,9 @@ table of pairs is bounded by the classes, and its sweeps run on the driver. The
 restaurants are dealt to tasks by the two nearest bytes of their context, which keeps a restaurant with all that it descends
 from down to those two bytes, and a sweep is one step of Spark; the restaurants of one byte and the root (257 * 257 dishes at
 most) are seated on the driver in between. The vocabulary is never collected: rare words keep a table of their own, get their
-probability there from n-grams dealt out in the same way, and join the rare tokens of the documents.
+probability there from n-grams dealt out in the same way. The occurrences of words in context are dealt out by context, in
+loads of a million with the numbers of their documents; the words beyond 2 ** common_bits join the rare words first. A task
+has all occurrences of its contexts, seats those of training text in all sweeps, and sends sums by document back to the load.
 
 Null text is empty: its one token is the end. Each row is a document of its own, also where it repeats a doc_id (null too) or
 is equal to another. Draws depend on the word or n-gram and the seed alone, so scores are the same at any partitioning (but
@@ -30,6 +36,7 @@ for the order in which numbers are added). Without training text every word is u
 from __future__ import annotations
 
 import math
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -82,20 +89,20 @@ class Draws:
         return out
 
 
-def seat(count: np.ndarray, d: float, strength: np.ndarray, others: np.ndarray, prior: np.ndarray, draws: Draws) -> np.ndarray:
+def seat(count: np.ndarray, d: float | np.ndarray, strength: np.ndarray, others: np.ndarray, prior: np.ndarray, draws: Draws) -> np.ndarray:
     """Tables of each dish after seating its customers in turn.
 
-    count: customers of the dish; strength + d * tables is the weight of a new table, others: the restaurant's tables of
-    other dishes; prior: the parent's probability of the dish.
+    count: customers of the dish; strength + d * tables is the weight of a new table (d: one number, or one for each dish),
+    others: the restaurant's tables of other dishes; prior: the parent's probability of the dish.
     """
-    tables = (count > 0).astype(np.int64)
+    tables, d = (count > 0).astype(np.int64), np.broadcast_to(d, count.shape)
     seated = tables.copy()
     live = np.flatnonzero(count > 1)
     while len(live):
-        t, s = tables[live], seated[live]
+        t, s, own = tables[live], seated[live], d[live]
         block = np.minimum(np.where(s < 64, 1, s // 8), count[live] - s)
-        new = (strength[live] + d * (others[live] + t)) * prior[live]
-        tables[live] += draws.binomial(live, block, np.clip(new / (new + s - d * t), 0.0, 1.0))
+        new = (strength[live] + own * (others[live] + t)) * prior[live]
+        tables[live] += draws.binomial(live, block, np.clip(new / (new + s - own * t), 0.0, 1.0))
         seated[live] += block
         live = live[seated[live] < count[live]]
     return tables
@@ -602,28 +609,206 @@ def spell(words: DataFrame, near: Spelling, dishes: DataFrame | None, order: int
     return rows.groupBy("h").agg(F.max("c").alias("c"), F.max("e").alias("e"), F.sum("logs").alias("logs"))
 
 
+# ---- contexts of words ----
+
+#: Occurrences that a task deals out at once.
+DEAL = 1 << 20
+#: What goes to a task that seats contexts. whole: numbers and sums of a load's documents, which are only passed on;
+#: else n occurrences of n_keys contexts in data. wide: dishes and priors are given themselves, not as places in tables.
+LOADS = "part int, load long, whole boolean, wide boolean, n int, n_keys int, data binary, sums binary"
+#: What comes back for the documents of a load: their numbers, or which of them have the sums.
+ANSWERS = "load long, whole boolean, n int, data binary, sums binary"
+
+
+def _planes(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed bytes, all first bytes of an array before all second ones."""
+    import pyarrow as pa
+
+    return pa.compress(b"".join(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in arrays), codec="zstd", asbytes=True)
+
+
+def _from_planes(data: bytes, *kinds: tuple) -> list[np.ndarray]:
+    """The arrays of _planes(); kinds: (dtype, length) of each."""
+    import pyarrow as pa
+
+    sizes = [np.dtype(t).itemsize * n for t, n in kinds]
+    flat = np.frombuffer(pa.decompress(data, sum(sizes), codec="zstd", asbytes=True), np.uint8)
+    cuts = np.cumsum([0, *sizes])
+    return [np.ascontiguousarray(flat[i:j].reshape(np.dtype(t).itemsize, n).T).view(t).reshape(n) for (t, n), i, j in zip(kinds, cuts[:-1], cuts[1:], strict=True)]
+
+
+def places(text, classes: np.ndarray, ending_of: np.ndarray) -> tuple:
+    """(words of each text; then for each token, ends included: text, word (the end: 0), context class, class, whether it is
+    rare, whether it follows a rare word, its context). The context is the rare word before; after a class or at the start
+    of a text it is the class before and the token's own: there, only the choice among rare words of a class is left.
+    """
+    texts, starts, ends, bounds, h = _tokens(text)
+    end = len(classes) + ENDINGS
+    before, now = _pairs(_classes(h, classes, ending_of[_ending(texts.data, starts, ends)]), bounds, end)
+    sizes = np.diff(bounds)
+    word = np.zeros(len(now), np.uint64)
+    word[np.arange(len(h)) + np.repeat(np.arange(len(sizes)), sizes)] = h
+    rare = (now >= len(classes)) & (now < end)
+    follows = np.zeros(len(now), bool)
+    follows[1:] = rare[:-1]
+    context = (before * (end + 1) + now + 1).astype(np.uint64)
+    context[1:][follows[1:]] = word[:-1][follows[1:]]
+    return sizes, np.repeat(np.arange(len(sizes)), sizes + 1), word, before, now, rare, follows, mix(context)
+
+
+def _loads(load: int, n_parts: int, wide: bool, key, dish, prior, doc, train, numbers, sums):
+    """Rows of LOADS: the occurrences by the part of their context, and one row for the documents."""
+    import pyarrow as pa
+
+    order = np.argsort(key)
+    key, dish, prior, doc, train = key[order], dish[order], prior[order], doc[order].astype(np.uint32), train[order].astype(np.uint8)
+    part = ((key >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+    rows = [(load % n_parts, load, True, wide, numbers.shape[1], 0, _planes(*numbers), _planes(*sums))]
+    edges = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for i, j in pairwise([*edges, len(key)]):
+        first = np.flatnonzero(np.diff(key[i:j], prepend=~key[i]))
+        times = np.diff(first, append=j - i).astype(np.uint32)
+        rows.append((int(part[i]), load, False, wide, j - i, len(first), _planes(key[i:j][first], times, dish[i:j], prior[i:j], doc[i:j], train[i:j]), None))
+    kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    for i in range(0, len(rows), 256):
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + 256], strict=True), kinds, strict=True)], [x.split()[0] for x in LOADS.split(", ")])
+
+
+def in_context(contexts: np.ndarray, dishes: np.ndarray, context: np.ndarray, dish: np.ndarray, log_prior: np.ndarray, train: np.ndarray, sweeps: int, burn: int, seed: int) -> np.ndarray:
+    """log10 P(dish | context) of each occurrence (places in contexts and dishes, log10 of the parent's probability there),
+    after seating the customers, which are the occurrences in training text, in a restaurant for each context.
+
+    Each restaurant's discount is that of its own dishes with one and two customers, with one dish more in both cases. The
+    parent's probability differs by what stands before the context, so a dish's tables are drawn by its customers' mean.
+    """
+    if not len(context):
+        return np.zeros(0)
+    both = context.astype(np.int64) << 32 | dish
+    order = np.argsort(both)
+    both, prior = both[order], 10.0 ** log_prior[order]
+    first = np.flatnonzero(np.diff(both, prepend=-1))
+    of = np.repeat(np.arange(len(first)), np.diff(first, append=len(both)))  # dish of each occurrence
+    own = both[first]
+    at = np.cumsum(np.diff(own >> 32, prepend=own[0] >> 32) != 0)  # restaurant of each dish
+    n = np.bincount(of, weights=train[order]).astype(np.int64)
+    mean = np.bincount(of, weights=prior * train[order]) / np.maximum(n, 1)
+    total = lambda x: np.bincount(at, weights=x)
+    one, two, customers = total(n == 1), total(n == 2), total(n)
+    d = np.clip((one + 1) / (one + 2 * two + 2), 0.05, 0.95)[at]
+    tables, average = np.minimum(n, 1), np.zeros(len(n))
+    many = np.flatnonzero(n > 1)
+    draws = mix(contexts[own[many] >> 32] + dishes[own[many] & 0xFFFFFFFF] * np.uint64(0x9DDFEA08EB382D69)).view(np.int64)
+    for sweep in range(sweeps):
+        others = total(tables)[at[many]] - tables[many]
+        tables[many] = seat(n[many], d[many], np.ones(len(many)), others, mean[many], Draws(draws, seed, sweep, 98))
+        if sweep >= burn:
+            average += tables / (sweeps - burn)
+    kept = np.maximum(n - d * average, 0) / (1 + customers[at])
+    back = (1 + d * total(average)[at]) / (1 + customers[at])
+    out = np.empty(len(both))
+    with np.errstate(divide="ignore"):
+        out[order] = np.log10(kept[of] + back[of] * prior)
+    new = order[kept[of] == 0]  # a prior may be too small for a double
+    out[new] = np.log10(back[of[kept[of] == 0]]) + log_prior[new]
+    return out
+
+
+def seated(loads: DataFrame, n_parts: int, tables, sweeps: int, burn: int, seed: int) -> DataFrame:
+    """ANSWERS to LOADS: a task has all occurrences of its contexts."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        common_h, common_score, common_class, log_pairs = tables.value[:4]
+        have, keys, others, loads = [], [], [np.zeros(0, np.uint64)], []
+        names = [x.split()[0] for x in ANSWERS.split(", ")]
+        for b in batches:
+            whole = b.filter(b.column("whole"))
+            if whole.num_rows:
+                yield whole.select(names)
+            for r in b.filter(pa.compute.invert(b.column("whole"))).select(["load", "wide", "n", "n_keys", "data"]).to_pylist():
+                n, wide = r["n"], r["wide"]
+                kinds = ("u8", n), ("f8", n)
+                key, times, dish, prior, doc, train = _from_planes(r["data"], ("u8", r["n_keys"]), ("u4", r["n_keys"]), *(kinds if wide else (("i4", n), ("i4", n))), ("u4", n), ("u1", n))
+                if wide:
+                    others.append(dish)
+                    dish = np.full(n, -1, np.int32)
+                else:
+                    prior = log_pairs[prior, common_class[dish]] + common_score[dish]
+                have.append((dish, prior, train))
+                keys.append((key, times))
+                loads.append((r["load"], doc))
+        if not have:
+            return
+        dish, prior, train = (np.concatenate(x) for x in zip(*have, strict=True))
+        contexts, context = np.unique(np.concatenate([x for x, _ in keys]), return_inverse=True)
+        others, place = np.unique(np.concatenate(others), return_inverse=True)
+        dish[dish < 0] = len(common_h) + place
+        points = in_context(contexts, np.append(common_h, others), np.repeat(context, np.concatenate([x for _, x in keys])), dish, prior, train, sweeps, burn, seed)
+        end = 0
+        for load, doc in loads:
+            end += len(doc)
+            sums = np.bincount(doc, weights=points[end - len(doc) : end])
+            docs = np.flatnonzero(np.bincount(doc))
+            row = load, False, len(docs), _planes(docs.astype(np.uint32)), sums[docs].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names)
+
+    return loads.repartitionById(n_parts, "part").mapInArrow(run, ANSWERS)
+
+
+def added_up(answers: DataFrame) -> DataFrame:
+    """doc, n_tokens, n_known, base, points of the documents of each load."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        numbers, base, points = {}, {}, {}
+        for r in (r for b in batches for r in b.to_pylist()):
+            load, n = r["load"], r["n"]
+            if r["whole"]:
+                numbers[load] = _from_planes(r["data"], *[("i8", n)] * 3)
+                base[load], own = _from_planes(r["sums"], *[("f8", n)] * 2)
+                docs = np.arange(n)
+            else:
+                (docs,), own = _from_planes(r["data"], ("u4", n)), np.frombuffer(r["sums"])
+            points.setdefault(load, []).append((docs, own))
+        for load, (doc, n_tokens, n_known) in numbers.items():
+            docs, own = (np.concatenate(x) for x in zip(*points.pop(load), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, n_tokens, n_known, base[load], np.bincount(docs, weights=own, minlength=len(doc)))], ["doc", "n_tokens", "n_known", "base", "points"])
+
+    return answers.repartition(partitions(answers), "load").mapInArrow(run, "doc long, n_tokens long, n_known long, base double, points double")
+
+
 # ---- the operator ----
 
 
+def _least(vocabulary: DataFrame, most: int) -> int:
+    """The least count of training tokens, 1 or more, that no more than most words reach."""
+    have = vocabulary.filter("n_train > 0").groupBy("n_train").agg(F.count(F.lit(1)).alias("words")).toPandas().sort_values("n_train", ascending=False)  # different counts only
+    over = have["n_train"][have["words"].cumsum() > most]
+    return int(over.iloc[0]) + 1 if len(over) else 1
+
+
 def score(docs: DataFrame, class_bits: int = 11, common_bits: int = 20, spelling_order: int = 4, sweeps: int = 8, burn: int = 4, seed: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each document.
 
-    common_bits: words with at least 1 / 2 ** common_bits of the training tokens, so 2 ** common_bits at most, are
-    looked up in tasks; the rest by a join. So are the spelling n-grams (see spell).
+    common_bits: the 2 ** common_bits words with most training tokens (fewer where counts tie) are looked up in tasks; the
+    rest by a join. So are spelling n-grams, with at least 1 / 2 ** common_bits of all customers (see spell).
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"), F.xxhash64("text").alias("version"))
+    docs = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"), F.xxhash64("doc_id", "text").alias("doc"))
     vocabulary = cut(word_counts(docs))
     ends = docs.filter("NOT held").count()
     words, distinct = vocabulary.filter("n_train > 0").agg(F.coalesce(F.sum("n_train"), F.lit(0)), F.count(F.lit(1))).first()
     total, different = words + ends, distinct + (ends > 0)
     base = lambda c: np.log10((c + 0.5) / (total + 0.5 * (different + 1)))
 
-    common = vocabulary.filter((F.col("n_train") > 0) & (F.col("n_train") * float(2**common_bits) >= total)).select("h", "n_train").toPandas().sort_values("h", key=lambda x: x.astype("uint64"))
-    common_h, common_n = common["h"].to_numpy(np.int64).view(np.uint64), common["n_train"].to_numpy(np.int64)
-    frequent = common_n * 2**class_bits >= max(1, total)
-    classes = common_h[frequent]
     is_class = F.col("n_train") * float(2**class_bits) >= max(1, total)
+    least = _least(vocabulary, 2**common_bits)
+    common = vocabulary.filter((F.col("n_train") >= least) | is_class).select("h", "n_train").toArrow()
+    common_h, common_n = common["h"].to_numpy().view(np.uint64), common["n_train"].to_numpy()
+    common_h, common_n = common_h[np.argsort(common_h)], common_n[np.argsort(common_h)]
+    classes = common_h[common_n * 2**class_bits >= max(1, total)]
     rare = vocabulary.filter(~is_class)
     learnt = rare.filter("n_train > 0")
     ending_of, types, mass = endings(learnt)
@@ -651,55 +836,83 @@ def score(docs: DataFrame, class_bits: int = 11, common_bits: int = 20, spelling
                 average += np.maximum(count - d * t, 0) / (1 + mass[e]) + new * prior
             own = np.log10(np.maximum(average / (sweeps - burn), 1e-300))
             own = np.where(average > 0, own, logs + np.log10(new))  # a word too long for a double
-            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("c"), pa.array(base(count)), pa.array(own)], ["h", "c", "word_base", "word_score"])
+            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("c"), pa.array(e), pa.array(base(count)), pa.array(own)], ["h", "c", "e", "word_base", "word_score"])
 
-    rated_words = cut(logs.sortWithinPartitions("h").mapInArrow(rated, "h long, c long, word_base double, word_score double"))
+    rated_words = cut(logs.sortWithinPartitions("h").mapInArrow(rated, "h long, c long, e long, word_base double, word_score double"))
     # common words that are no class: their scores, bounded like the words themselves
-    lookup = rated_words.filter(F.col("c") * float(2**common_bits) >= total).filter("c > 0").select("h", "word_score").toPandas()
-    at = np.searchsorted(common_h, lookup["h"].to_numpy(np.int64).view(np.uint64))
-    common_score = np.zeros(len(common_h))
-    common_score[at] = lookup["word_score"].to_numpy()
-    tables = spark.sparkContext.broadcast((common_h, base(common_n), common_score, classes, ending_of, np.log10(pairs), float(base(np.int64(ends)))))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def scored(batches):
-        """A row with n_tokens for each text, and a row with its hash and number for each word of it that is no common word."""
+    lookup = rated_words.filter(F.col("c") >= least).select("h", "e", "word_score").toArrow()
+    at = np.searchsorted(common_h, lookup["h"].to_numpy().view(np.uint64))
+    common_score, common_class = np.zeros(len(common_h) + 1), np.full(len(common_h) + 1, k - 1)  # the last is the end of a text
+    common_score[at], common_class[at] = lookup["word_score"].to_numpy(), len(classes) + lookup["e"].to_numpy()
+    common_class[np.searchsorted(common_h, classes)] = np.arange(len(classes))
+    log_pairs = np.vstack([np.log10(pairs), np.zeros(k)])  # the last context: the class is given
+    tables = spark.sparkContext.broadcast((np.append(common_h, np.uint64(0)), common_score, common_class, log_pairs, base(common_n), common_n > 0, classes, ending_of, float(base(np.int64(ends)))))
+    n_parts = 2 * partitions(docs)
+
+    def found(word, common_h):
+        """(whether each token is a common word or an end, its place)."""
+        different, inverse = np.unique(word, return_inverse=True)
+        at = np.searchsorted(common_h[:-1], different)
+        at[different == 0] = len(common_h) - 1
+        return (common_h[at] == different)[inverse], at[inverse]
+
+    def dealt(batches):
+        """Occurrences of common words and ends, and the documents."""
+        from pyspark import TaskContext
+
+        common_h, _, _, log_pairs, common_base, common_known, classes, ending_of, end_base = tables.value
+        have, seen, size, n_docs, load = [], [], 0, 0, TaskContext.get().partitionId() << 32
+
+        def flushed():
+            yield from _loads(load, n_parts, False, *map(np.concatenate, zip(*have, strict=True)), np.concatenate([x[0] for x in seen], axis=1), np.concatenate([x[1] for x in seen], axis=1))
+
+        for b in (p for batch in batches for p in parts(batch, limit=SLICE)):
+            sizes, text, word, before, now, rare, follows, context = places(b.column("text"), classes, ending_of)
+            n, (hit, at) = len(sizes), found(word, common_h)
+            is_word = hit & (at < len(common_h) - 1)
+            points = np.bincount(text[~follows], weights=log_pairs[before[~follows], now[~follows]], minlength=n)
+            plain = np.bincount(text[is_word], weights=common_base[at[is_word]], minlength=n) + end_base
+            known = np.bincount(text[is_word], weights=common_known[at[is_word]], minlength=n).astype(np.int64) + (ends > 0)
+            asked = np.flatnonzero(hit & (rare | follows))
+            train = ~np.array(b.column("held").to_pylist(), bool)
+            have.append((context[asked], at[asked].astype(np.int32), np.where(follows[asked], before[asked], k).astype(np.int32), text[asked] + n_docs, train[text[asked]]))
+            seen.append((np.stack([b.column("doc").to_numpy(), sizes + 1, known]), np.stack([plain, points])))
+            size, n_docs = size + len(asked), n_docs + n
+            if size >= DEAL or n_docs >= DEAL:
+                yield from flushed()
+                have, seen, size, n_docs, load = [], [], 0, 0, load + 1
+        if seen:
+            yield from flushed()
+
+    def others(batches):
+        """A row for each occurrence of a word that is not common."""
         import pyarrow as pa
 
-        common_h, common_base, common_score, classes, ending_of, log_pairs, end_base = tables.value
+        common_h, _, _, log_pairs, _, _, classes, ending_of, _ = tables.value
         for b in (p for batch in batches for p in parts(batch, limit=SLICE)):
-            texts, starts, ends_, bounds, h = _tokens(b.column("text"))
-            n = b.num_rows
-            text = np.repeat(np.arange(n), np.diff(bounds))
-            before, now = _pairs(_classes(h, classes, ending_of[_ending(texts.data, starts, ends_)]), bounds, k - 1)
-            of_pair = np.repeat(np.arange(n), np.diff(bounds) + 1)
-            points = np.bincount(of_pair, weights=log_pairs[before, now], minlength=n)
-            place = np.searchsorted(common_h, h)
-            place[place == len(common_h)] = 0
-            hit = common_h[place] == h if len(common_h) else np.zeros(len(h), bool)
-            points += np.bincount(text[hit], weights=common_score[place[hit]], minlength=n)
-            plain = np.bincount(text[hit], weights=common_base[place[hit]], minlength=n) + end_base
-            known = np.bincount(text[hit], minlength=n) + (ends > 0)
-            pairs, times = np.unique(np.stack([text[~hit].astype(np.uint64), h[~hit]], axis=1), axis=0, return_counts=True) if (~hit).any() else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
-            own, zero = pairs[:, 0].astype(np.int64), np.zeros(len(pairs))
-            of = pa.array(np.concatenate([np.arange(n), own]))
-            key = np.concatenate([np.arange(n, dtype=np.int64) * 0x9E3779B1, np.ascontiguousarray(pairs[:, 1]).view(np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(of), b.column("version").take(of), pa.array(key), pa.array(np.concatenate([np.zeros(n, np.int64), times])), pa.array(np.concatenate([np.diff(bounds) + 1, zero.astype(np.int64)])), pa.array(np.concatenate([known, zero.astype(np.int64)])), pa.array(np.concatenate([plain, zero])), pa.array(np.concatenate([points, zero]))],
-                ["doc_id", "version", "h", "times", "n_tokens", "n_known", "base", "points"],
-            )
-
-    flat = docs.select("doc_id", "version", "text").mapInArrow(scored, f"doc_id {kind}, version long, h long, times long, n_tokens long, n_known long, base double, points double")
-    rest = rated_words.withColumnRenamed("h", "_h")
-    joined = flat.join(rest, (flat["h"] == rest["_h"]) & (flat["n_tokens"] == 0), "left")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    out = joined.groupBy("doc_id", "version").agg(
-        F.count_if(F.col("n_tokens") > 0).alias("rows"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(F.col("c") > 0, F.col("times")).otherwise(F.lit(0))).alias("n_known"),
-        F.sum(F.col("base") + F.col("times") * zero("word_base")).alias("base_score"),
-        F.sum(F.col("points") + F.col("times") * zero("word_score")).alias("score"),
+            _, text, word, before, now, _, follows, context = places(b.column("text"), classes, ending_of)
+            at = np.flatnonzero(~found(word, common_h)[0])
+            of = pa.array(text[at])
+            yield pa.RecordBatch.from_arrays([pa.array(word[at].view(np.int64)), b.column("doc").take(of), b.column("held").take(of), pa.array(context[at].view(np.int64)), pa.array(log_pairs[np.where(follows[at], before[at], k), now[at]])], ["h", "doc", "held", "context", "prior"])
+
+    def rated_others(batches):
+        from pyspark import TaskContext
+
+        load = 1 << 62 | TaskContext.get().partitionId() << 32
+        for b in (b.slice(i, DEAL) for b in batches for i in range(0, b.num_rows, DEAL)):
+            h, doc, held, context, prior, c, plain, own = (b.column(x).to_numpy(zero_copy_only=False) for x in ("h", "doc", "held", "context", "prior", "c", "word_base", "word_score"))
+            own_docs, at = np.unique(doc, return_inverse=True)
+            zero = np.zeros(len(own_docs))
+            numbers = np.stack([own_docs, zero.astype(np.int64), np.bincount(at, weights=c > 0).astype(np.int64)])
+            yield from _loads(load, n_parts, True, context.view(np.uint64), h.view(np.uint64), prior + own, at, ~held, numbers, np.stack([np.bincount(at, weights=plain), zero]))
+            load += 1
+
+    rest = docs.select("text", "held", "doc").mapInArrow(others, "h long, doc long, held boolean, context long, prior double").join(rated_words.drop("e"), "h")
+    rest = rest.sortWithinPartitions("doc", "h", "context", "prior")  # loads are the same if a task runs again
+    loads = docs.select("text", "held", "doc").mapInArrow(dealt, LOADS).unionByName(rest.mapInArrow(rated_others, LOADS))
+    sums = added_up(seated(loads, n_parts, tables, sweeps, burn, seed)).groupBy("doc").agg(
+        F.count_if(F.col("n_tokens") > 0).alias("rows"),  # equal rows are added up
+        *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "points")),
     )
-    out = out.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))  # equal rows were added up
     whole = lambda c: F.expr(f"{c} DIV rows").alias(c)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), whole("n_tokens"), whole("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") / F.col("rows")).alias("base_score"), (F.col("score") / F.col("rows")).alias("score"))
+    return docs.select("doc_id", "held", "doc").join(sums, "doc").select("doc_id", F.col("held").alias("held_out"), whole("n_tokens"), whole("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") / F.col("rows")).alias("base_score"), (F.col("points") / F.col("rows")).alias("score"))
