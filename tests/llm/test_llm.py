@@ -5,10 +5,13 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +274,64 @@ def test_contexts_are_distributions():
     assert two[: n + 50] == pytest.approx(p) and two[-50:] == pytest.approx(np.log10(prior))  # a context without customers adds nothing
 
 
+def _peak_mb(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return tracemalloc.get_traced_memory()[1] / 1e6, out
+    finally:
+        tracemalloc.stop()
+
+
+def test_lm_dealing_memory():
+    """A load of a million occurrences is dealt out with little more than its keys in order beside it."""
+    n, rng = 1 << 20, np.random.default_rng(1)
+    key, doc = rng.integers(0, 2**64, n, np.uint64), rng.integers(0, 400, n).astype(np.uint32)
+    dish, train = np.arange(n, dtype=np.int32), np.ones(n, bool)
+    seen = np.zeros(n, bool)
+
+    def run():
+        for b in op2_lm._loads(5, 100, False, key, dish, dish, doc, train, np.zeros((3, 400), np.int64), np.zeros((2, 400))):
+            for r in b.filter(pa.compute.invert(b.column("whole"))).to_pylist():
+                own, times, which, *_ = op2_lm._from_planes(r["data"], ("u8", r["n_keys"]), ("u4", r["n_keys"]), ("i4", r["n"]), ("i4", r["n"]), ("u4", r["n"]), ("u1", r["n"]))
+                assert (np.repeat(own, times) == key[which]).all() and set(((own >> np.uint64(32)) * np.uint64(100) >> np.uint64(32)).tolist()) == {r["part"]}
+                seen[which] = True
+
+    peak, _ = _peak_mb(run)
+    assert seen.all() and peak < 40
+
+
+def test_lm_pair_counts_memory():
+    """Pairs of classes are counted in a table, whose size the classes bound, whatever pairs a task meets."""
+
+    class Docs:
+        def __getattr__(self, _):
+            return lambda *_: self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            raise StopIteration
+
+    docs, names = Docs(), [f"w{i}" for i in range(1500)]
+    rng = np.random.default_rng(4)
+    batches = [pa.RecordBatch.from_arrays([pa.array([" ".join(names[i] for i in rng.integers(0, 1500, 5000)) for _ in range(4)])], ["text"]) for _ in range(100)]
+    h = np.sort(op2_lm._tokens(pa.array(names))[4])
+    with pytest.raises(StopIteration):
+        op2_lm.class_counts(docs, h, np.zeros(1 << 16, np.int64))
+    peak, total = _peak_mb(lambda: sum(pa.compute.sum(b.column("n")).as_py() for b in docs.run(batches)))
+    assert total == 100 * 4 * 5001 and peak < 60
+
+
+def test_lm_ranges_of_contexts_add_up():
+    rng = np.random.default_rng(6)
+    n, contexts, dishes = 3000, np.arange(40, dtype=np.uint64), np.arange(60, dtype=np.uint64)
+    context, dish, doc = (40 * rng.random(n) ** 3).astype(np.int32), rng.integers(0, 60, n).astype(np.int32), rng.integers(0, 50, n)
+    prior, train = np.full(n, -2.0), rng.random(n) < 0.8
+    want = np.bincount(doc, weights=op2_lm.in_context(contexts, dishes, context, dish, prior, train, 8, 4, 1))
+    for most in (1, 100, 2999, 10**6):
+        assert op2_lm.in_ranges(contexts, dishes, context, dish, prior, train, doc, 8, 4, 1, most) == pytest.approx(want)
+
+
 def test_lm_edges(spark, empty):
     assert op2_lm.score(empty).count() == 0
     twice = spark.createDataFrame([(None, "a b"), (None, None), (7, "x"), (7, "x"), (7, "y x")], "doc_id long, text string").withColumn("version", F.lit("v")).withColumn("h", F.lit(0))

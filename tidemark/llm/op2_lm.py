@@ -208,8 +208,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 ENDINGS = 64
-#: Bytes of text that a task turns into words at once.
-SLICE = 1 << 20
+#: Bytes of text that a task turns into words at once; the arrays of a slice take some 60 bytes for each of them.
+SLICE = 1 << 18
 
 
 def _ending(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -241,14 +241,15 @@ def class_counts(docs: DataFrame, classes: np.ndarray, ending_of: np.ndarray) ->
     def run(batches):
         import pyarrow as pa
 
-        total: dict[int, int] = {}
+        total = np.zeros(k * k, np.int64)
         for b in (p for batch in batches for p in parts(batch, limit=SLICE)):
             texts, starts, ends, bounds, h = _tokens(b.column("text"))
             before, now = _pairs(_classes(h, classes, ending_of[_ending(texts.data, starts, ends)]), bounds, k - 1)
             u, n = np.unique(before * k + now, return_counts=True)
-            for x, y in zip(u.tolist(), n.tolist(), strict=True):
-                total[x] = total.get(x, 0) + y
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["pair", "n"])
+            total[u] += n
+        at = np.flatnonzero(total)
+        for i in range(0, len(at), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(total[at[i : i + 100_000]])], ["pair", "n"])
 
     cells = docs.filter("NOT held").select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return _dense(cells, "pair", (k, k))
@@ -657,21 +658,52 @@ def places(text, classes: np.ndarray, ending_of: np.ndarray) -> tuple:
 
 
 def _loads(load: int, n_parts: int, wide: bool, key, dish, prior, doc, train, numbers, sums):
-    """Rows of LOADS: the occurrences by the part of their context, and one row for the documents."""
+    """Rows of LOADS: the occurrences by the part of their context, and one row for the documents. Only the keys are put in
+    order as a whole; the rest is fetched part by part, and rows go out by a few."""
     import pyarrow as pa
 
+    kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in LOADS.split(", ")])
+
     order = np.argsort(key)
-    key, dish, prior, doc, train = key[order], dish[order], prior[order], doc[order].astype(np.uint32), train[order].astype(np.uint8)
-    part = ((key >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+    key = key[order]
     rows = [(load % n_parts, load, True, wide, numbers.shape[1], 0, _planes(*numbers), _planes(*sums))]
-    edges = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
-    for i, j in pairwise([*edges, len(key)]):
-        first = np.flatnonzero(np.diff(key[i:j], prepend=~key[i]))
+    # the least key of each part; parts share the 2 ** 32 upper halves of keys
+    edges = np.searchsorted(key, np.array([-(-(p << 32) // n_parts) << 32 for p in range(n_parts)], np.uint64)).tolist()
+    for part, (i, j) in enumerate(pairwise([*edges, len(key)])):
+        if i == j:
+            continue
+        at, own = order[i:j], key[i:j]
+        first = np.flatnonzero(np.diff(own, prepend=~own[0]))
         times = np.diff(first, append=j - i).astype(np.uint32)
-        rows.append((int(part[i]), load, False, wide, j - i, len(first), _planes(key[i:j][first], times, dish[i:j], prior[i:j], doc[i:j], train[i:j]), None))
-    kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    for i in range(0, len(rows), 256):
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[i : i + 256], strict=True), kinds, strict=True)], [x.split()[0] for x in LOADS.split(", ")])
+        rows.append((part, load, False, wide, j - i, len(first), _planes(own[first], times, dish[at], prior[at], doc[at].astype(np.uint32), train[at].astype(np.uint8)), None))
+        if len(rows) >= 32:
+            yield out(rows)
+            rows = []
+    if rows:
+        yield out(rows)
+
+
+class Pending:
+    """Columns that are filled by pieces up to about size rows, in arrays that are used again."""
+
+    def __init__(self, size: int, *kinds):
+        self.columns, self.n = [np.empty(size + size // 4, t) for t in kinds], 0
+
+    def add(self, *pieces: np.ndarray) -> None:
+        n = self.n + len(pieces[0])
+        if n > len(self.columns[0]):  # a text that is longer
+            self.columns = [np.concatenate([c[: self.n], np.empty(n - self.n, c.dtype)]) for c in self.columns]
+        for c, x in zip(self.columns, pieces, strict=True):
+            c[self.n : n] = x
+        self.n = n
+
+    def take(self) -> list[np.ndarray]:
+        """What was added; valid until more is."""
+        n, self.n = self.n, 0
+        return [c[:n] for c in self.columns]
 
 
 def in_context(contexts: np.ndarray, dishes: np.ndarray, context: np.ndarray, dish: np.ndarray, log_prior: np.ndarray, train: np.ndarray, sweeps: int, burn: int, seed: int) -> np.ndarray:
@@ -713,6 +745,18 @@ def in_context(contexts: np.ndarray, dishes: np.ndarray, context: np.ndarray, di
     return out
 
 
+def in_ranges(contexts: np.ndarray, dishes: np.ndarray, context: np.ndarray, dish: np.ndarray, log_prior: np.ndarray, train: np.ndarray, doc: np.ndarray, sweeps: int, burn: int, seed: int, most: int = 0) -> np.ndarray:
+    """Sums of in_context() by doc, 0, 1, ...; restaurants are seated by ranges with most occurrences each (or one context)."""
+    order, most = np.argsort(context, kind="stable"), most or DEAL // 4
+    ordered = context[order]
+    edges = np.unique(np.searchsorted(ordered, ordered[most::most]))  # a range begins where a context does
+    sums = np.zeros(int(doc.max(initial=-1)) + 1)
+    for i, j in pairwise(np.unique([0, *edges, len(order)]).tolist()):
+        at = order[i:j]
+        sums += np.bincount(doc[at], weights=in_context(contexts, dishes, ordered[i:j], dish[at], log_prior[at], train[at], sweeps, burn, seed), minlength=len(sums))
+    return sums
+
+
 def seated(loads: DataFrame, n_parts: int, tables, sweeps: int, burn: int, seed: int) -> DataFrame:
     """ANSWERS to LOADS: a task has all occurrences of its contexts."""
 
@@ -720,37 +764,41 @@ def seated(loads: DataFrame, n_parts: int, tables, sweeps: int, burn: int, seed:
         import pyarrow as pa
 
         common_h, common_score, common_class, log_pairs = tables.value[:4]
-        have, keys, others, loads = [], [], [np.zeros(0, np.uint64)], []
+        columns, others, loads, n_docs = [[] for _ in range(6)], [np.zeros(0, np.uint64)], [], 0
         names = [x.split()[0] for x in ANSWERS.split(", ")]
         for b in batches:
             whole = b.filter(b.column("whole"))
             if whole.num_rows:
                 yield whole.select(names)
-            for r in b.filter(pa.compute.invert(b.column("whole"))).select(["load", "wide", "n", "n_keys", "data"]).to_pylist():
-                n, wide = r["n"], r["wide"]
+            for i in np.flatnonzero(~b.column("whole").to_numpy(zero_copy_only=False)).tolist():
+                load, wide, n, n_keys = (b.column(x)[i].as_py() for x in ("load", "wide", "n", "n_keys"))
                 kinds = ("u8", n), ("f8", n)
-                key, times, dish, prior, doc, train = _from_planes(r["data"], ("u8", r["n_keys"]), ("u4", r["n_keys"]), *(kinds if wide else (("i4", n), ("i4", n))), ("u4", n), ("u1", n))
+                key, times, dish, prior, doc, train = _from_planes(b.column("data")[i].as_buffer(), ("u8", n_keys), ("u4", n_keys), *(kinds if wide else (("i4", n), ("i4", n))), ("u4", n), ("u1", n))
                 if wide:
                     others.append(dish)
                     dish = np.full(n, -1, np.int32)
                 else:
                     prior = log_pairs[prior, common_class[dish]] + common_score[dish]
-                have.append((dish, prior, train))
-                keys.append((key, times))
-                loads.append((r["load"], doc))
-        if not have:
+                docs, doc = np.unique(doc, return_inverse=True)
+                loads.append((load, docs))
+                for c, x in zip(columns, (key, times, dish, prior, (doc + n_docs).astype(np.int32), train), strict=True):
+                    c.append(x)
+                n_docs += len(docs)
+        if not loads:
             return
-        dish, prior, train = (np.concatenate(x) for x in zip(*have, strict=True))
-        contexts, context = np.unique(np.concatenate([x for x, _ in keys]), return_inverse=True)
-        others, place = np.unique(np.concatenate(others), return_inverse=True)
-        dish[dish < 0] = len(common_h) + place
-        points = in_context(contexts, np.append(common_h, others), np.repeat(context, np.concatenate([x for _, x in keys])), dish, prior, train, sweeps, burn, seed)
+        while len(columns) > 0 and isinstance(columns[0], list):  # each column's pieces are let go before the next is joined
+            columns.append(np.concatenate(columns.pop(0)))
+        key, times, dish, prior, doc, train = columns
+        contexts, place = np.unique(key, return_inverse=True)
+        context = np.repeat(place.astype(np.int32), times)
+        others, of = np.unique(np.concatenate(others), return_inverse=True)
+        dish[dish < 0] = len(common_h) + of
+        del key, times, place, of
+        sums = in_ranges(contexts, np.append(common_h, others), context, dish, prior, train, doc, sweeps, burn, seed)
         end = 0
-        for load, doc in loads:
-            end += len(doc)
-            sums = np.bincount(doc, weights=points[end - len(doc) : end])
-            docs = np.flatnonzero(np.bincount(doc))
-            row = load, False, len(docs), _planes(docs.astype(np.uint32)), sums[docs].tobytes()
+        for load, docs in loads:
+            row = load, False, len(docs), _planes(docs), sums[end : end + len(docs)].tobytes()
+            end += len(docs)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names)
 
     return loads.repartitionById(n_parts, "part").mapInArrow(run, ANSWERS)
@@ -842,11 +890,11 @@ def score(docs: DataFrame, class_bits: int = 11, common_bits: int = 20, spelling
     # common words that are no class: their scores, bounded like the words themselves
     lookup = rated_words.filter(F.col("c") >= least).select("h", "e", "word_score").toArrow()
     at = np.searchsorted(common_h, lookup["h"].to_numpy().view(np.uint64))
-    common_score, common_class = np.zeros(len(common_h) + 1), np.full(len(common_h) + 1, k - 1)  # the last is the end of a text
+    common_score, common_class = np.zeros(len(common_h) + 1), np.full(len(common_h) + 1, k - 1, np.int32)  # the last is the end of a text
     common_score[at], common_class[at] = lookup["word_score"].to_numpy(), len(classes) + lookup["e"].to_numpy()
     common_class[np.searchsorted(common_h, classes)] = np.arange(len(classes))
     log_pairs = np.vstack([np.log10(pairs), np.zeros(k)])  # the last context: the class is given
-    tables = spark.sparkContext.broadcast((np.append(common_h, np.uint64(0)), common_score, common_class, log_pairs, base(common_n), common_n > 0, classes, ending_of, float(base(np.int64(ends)))))
+    tables = spark.sparkContext.broadcast((np.append(common_h, np.uint64(0)), common_score, common_class, log_pairs, common_n, classes, ending_of, float(base(np.int64(ends)))))
     n_parts = 2 * partitions(docs)
 
     def found(word, common_h):
@@ -860,27 +908,28 @@ def score(docs: DataFrame, class_bits: int = 11, common_bits: int = 20, spelling
         """Occurrences of common words and ends, and the documents."""
         from pyspark import TaskContext
 
-        common_h, _, _, log_pairs, common_base, common_known, classes, ending_of, end_base = tables.value
-        have, seen, size, n_docs, load = [], [], 0, 0, TaskContext.get().partitionId() << 32
+        common_h, _, _, log_pairs, common_n, classes, ending_of, end_base = tables.value
+        have, seen, n_docs, load = Pending(DEAL, np.uint64, np.int32, np.int32, np.uint32, bool), [], 0, TaskContext.get().partitionId() << 32
 
         def flushed():
-            yield from _loads(load, n_parts, False, *map(np.concatenate, zip(*have, strict=True)), np.concatenate([x[0] for x in seen], axis=1), np.concatenate([x[1] for x in seen], axis=1))
+            yield from _loads(load, n_parts, False, *have.take(), np.concatenate([x[0] for x in seen], axis=1), np.concatenate([x[1] for x in seen], axis=1))
 
         for b in (p for batch in batches for p in parts(batch, limit=SLICE)):
             sizes, text, word, before, now, rare, follows, context = places(b.column("text"), classes, ending_of)
             n, (hit, at) = len(sizes), found(word, common_h)
             is_word = hit & (at < len(common_h) - 1)
             points = np.bincount(text[~follows], weights=log_pairs[before[~follows], now[~follows]], minlength=n)
-            plain = np.bincount(text[is_word], weights=common_base[at[is_word]], minlength=n) + end_base
-            known = np.bincount(text[is_word], weights=common_known[at[is_word]], minlength=n).astype(np.int64) + (ends > 0)
+            count = common_n[at[is_word]]
+            plain = np.bincount(text[is_word], weights=base(count), minlength=n) + end_base
+            known = np.bincount(text[is_word], weights=count > 0, minlength=n).astype(np.int64) + (ends > 0)
             asked = np.flatnonzero(hit & (rare | follows))
             train = ~np.array(b.column("held").to_pylist(), bool)
-            have.append((context[asked], at[asked].astype(np.int32), np.where(follows[asked], before[asked], k).astype(np.int32), text[asked] + n_docs, train[text[asked]]))
+            have.add(context[asked], at[asked], np.where(follows[asked], before[asked], k), text[asked] + n_docs, train[text[asked]])
             seen.append((np.stack([b.column("doc").to_numpy(), sizes + 1, known]), np.stack([plain, points])))
-            size, n_docs = size + len(asked), n_docs + n
-            if size >= DEAL or n_docs >= DEAL:
+            n_docs += n
+            if have.n >= DEAL or n_docs >= DEAL:
                 yield from flushed()
-                have, seen, size, n_docs, load = [], [], 0, 0, load + 1
+                seen, n_docs, load = [], 0, load + 1
         if seen:
             yield from flushed()
 
@@ -888,7 +937,7 @@ def score(docs: DataFrame, class_bits: int = 11, common_bits: int = 20, spelling
         """A row for each occurrence of a word that is not common."""
         import pyarrow as pa
 
-        common_h, _, _, log_pairs, _, _, classes, ending_of, _ = tables.value
+        common_h, _, _, log_pairs, _, classes, ending_of, _ = tables.value
         for b in (p for batch in batches for p in parts(batch, limit=SLICE)):
             _, text, word, before, now, _, follows, context = places(b.column("text"), classes, ending_of)
             at = np.flatnonzero(~found(word, common_h)[0])
@@ -898,14 +947,24 @@ def score(docs: DataFrame, class_bits: int = 11, common_bits: int = 20, spelling
     def rated_others(batches):
         from pyspark import TaskContext
 
-        load = 1 << 62 | TaskContext.get().partitionId() << 32
-        for b in (b.slice(i, DEAL) for b in batches for i in range(0, b.num_rows, DEAL)):
-            h, doc, held, context, prior, c, plain, own = (b.column(x).to_numpy(zero_copy_only=False) for x in ("h", "doc", "held", "context", "prior", "c", "word_base", "word_score"))
+        load, most = 1 << 62 | TaskContext.get().partitionId() << 32, DEAL // 4  # their rows are wider
+        have = Pending(most, np.uint64, np.uint64, np.float64, np.int64, bool, bool, np.float64)
+
+        def flushed():
+            context, h, prior, doc, train, known, plain = have.take()
             own_docs, at = np.unique(doc, return_inverse=True)
             zero = np.zeros(len(own_docs))
-            numbers = np.stack([own_docs, zero.astype(np.int64), np.bincount(at, weights=c > 0).astype(np.int64)])
-            yield from _loads(load, n_parts, True, context.view(np.uint64), h.view(np.uint64), prior + own, at, ~held, numbers, np.stack([np.bincount(at, weights=plain), zero]))
-            load += 1
+            numbers = np.stack([own_docs, zero.astype(np.int64), np.bincount(at, weights=known).astype(np.int64)])
+            yield from _loads(load, n_parts, True, context, h, prior, at, train, numbers, np.stack([np.bincount(at, weights=plain), zero]))
+
+        for b in (b.slice(i, most // 4) for b in batches for i in range(0, b.num_rows, most // 4)):
+            h, doc, held, context, prior, c, plain, own = (b.column(x).to_numpy(zero_copy_only=False) for x in ("h", "doc", "held", "context", "prior", "c", "word_base", "word_score"))
+            have.add(context.view(np.uint64), h.view(np.uint64), prior + own, doc, ~held, c > 0, plain)
+            if have.n >= most:
+                yield from flushed()
+                load += 1
+        if have.n:
+            yield from flushed()
 
     rest = docs.select("text", "held", "doc").mapInArrow(others, "h long, doc long, held boolean, context long, prior double").join(rated_words.drop("e"), "h")
     rest = rest.sortWithinPartitions("doc", "h", "context", "prior")  # loads are the same if a task runs again
