@@ -6,6 +6,7 @@ import math
 import random
 import re
 import tracemalloc
+import types
 import zlib
 from collections import Counter, defaultdict
 
@@ -332,6 +333,55 @@ def test_lm_ranges_of_contexts_add_up():
         assert op2_lm.in_ranges(contexts, dishes, context, dish, prior, train, doc, 8, 4, 1, most) == pytest.approx(want)
 
 
+class _Captured:
+    """Takes the place of a table; run is what would run in its tasks."""
+
+    def __getattr__(self, _):
+        return lambda *_: self
+
+    def mapInArrow(self, run, _):
+        self.run = run
+        raise StopIteration
+
+
+def test_lm_seating_memory():
+    """Beside its loads as they came, a task that seats two million occurrences needs the memory of a range of contexts."""
+    n, n_docs, rng, loads = 1 << 16, 400, np.random.default_rng(8), _Captured()
+    common_h = np.append(np.sort(rng.integers(1, 2**64, 1000, np.uint64)), np.uint64(0))
+    tables = (common_h, rng.random(1001) - 3, rng.integers(0, 9, 1001).astype(np.int32), np.log10(rng.random((9, 9))))
+    wide_h, contexts = rng.integers(1, 2**64, 500, np.uint64), np.sort(rng.integers(1, 2**64, 30_000, np.uint64))
+    batches, have = [], []
+    for load in range(32):
+        wide, doc, train = load % 4 == 3, rng.integers(0, n_docs, n).astype(np.uint32), rng.random(n) < 0.8
+        context = contexts[(30_000 * rng.random(n) ** 2).astype(int)]
+        dish, prior = (wide_h[rng.integers(0, 500, n)], rng.random(n) - 3) if wide else (rng.integers(0, 1001, n).astype(np.int32), rng.integers(0, 9, n).astype(np.int32))
+        batches += [b.filter(pa.compute.invert(b.column("whole"))) for b in op2_lm._loads(load, 1, wide, context, dish, prior, doc, train, np.zeros((3, n_docs), np.int64), np.zeros((2, n_docs)))]
+        have.append((context, dish if wide else common_h[dish], prior if wide else tables[3][prior, tables[2][dish]] + tables[1][dish], train, doc + load * n_docs))
+    context, dish, prior, train, doc = map(np.concatenate, zip(*have, strict=True))
+    dishes, place = np.unique(dish, return_inverse=True)
+    want = np.bincount(doc, weights=op2_lm.in_context(contexts, dishes, np.searchsorted(contexts, context), place, prior, train, 2, 1, 1))
+    del have, context, dish, prior, train, doc, place
+    with pytest.raises(StopIteration):
+        op2_lm.seated(loads, 1, types.SimpleNamespace(value=tables), 2, 1, 1)
+    peak, answers = _peak_mb(lambda: [r for b in loads.run(iter(batches)) for r in b.to_pylist()])
+    got = {r["load"]: np.frombuffer(r["sums"]) for r in answers}
+    assert np.concatenate([got[load] for load in range(32)]) == pytest.approx(want)
+    assert peak < 100
+
+
+def test_lm_word_counts_are_merged_in_tasks():
+    """A task with 200,000 distinct words sends each of them once, with whole counts."""
+    docs, names = _Captured(), [f"w{i}" for i in range(200_000)]
+    with pytest.raises(StopIteration):
+        op2_lm.word_counts(docs)
+    batches = [pa.RecordBatch.from_arrays([pa.array([" ".join(names[i : i + 20_000]), " \n", None, "Ü x", names[0]]), pa.array([r > 0] * 5)], ["text", "held"]) for r in range(2) for i in range(0, 200_000, 20_000)]
+    rows = pa.Table.from_batches(list(docs.run(iter(batches))))
+    got = {w: (n, train) for w, n, train in zip(*(rows[c].to_pylist() for c in ("word", "n", "n_train")), strict=True)}
+    assert rows.num_rows == len(got) == 200_002
+    assert got["w7"] == (2, 1) and got["w0"] == (22, 11) and got["Ü"] == got["x"] == (20, 10)
+    assert len(set(rows["h"].to_pylist())) == 200_002
+
+
 def test_lm_edges(spark, empty):
     assert op2_lm.score(empty).count() == 0
     twice = spark.createDataFrame([(None, "a b"), (None, None), (7, "x"), (7, "x"), (7, "y x")], "doc_id long, text string").withColumn("version", F.lit("v")).withColumn("h", F.lit(0))

@@ -158,6 +158,18 @@ def fit(counts: np.ndarray, sweeps: int, burn: int, seed: int, strength: float =
 # ---- counting in tasks ----
 
 
+def _released(run):
+    """run, after which a worker gives back what Arrow keeps of memory that is free: it waits for its next task beside others."""
+
+    def task(batches):
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
@@ -169,41 +181,71 @@ def _tokens(column):
     return texts, starts, ends, bounds, span_hash(prefix_hash(texts.data), starts, ends)
 
 
+def _cut_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """data[start:end] of each word as an Arrow array."""
+    import pyarrow as pa
+
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    flat = data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], ends - starts)]
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(flat))
+
+
+#: Bytes of distinct words and their counts that a task merges before it sends them off.
+MERGE = 1 << 24
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """h (hash), word, n, n_train of every distinct word of docs (text, held)."""
 
     def run(batches):
         import pyarrow as pa
 
-        have: list[tuple] = []
-        size = 0
-
-        def merged():
-            h, word, n, train = (np.concatenate([x[k] for x in have]) for k in range(4))
-            u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            return u, word[first], np.bincount(inverse, weights=n).astype(np.int64), np.bincount(inverse, weights=train).astype(np.int64)
-
-        def batch(u, word, n, train):
-            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(word, pa.string()), pa.array(n), pa.array(train)], ["h", "word", "n", "n_train"])
+        have, least, size = [[], [], [], []], 0, 0  # h, word, n, n_train: pieces; the first has least bytes if merged, others size
+
+        def merge():
+            """One column after the other, each one's pieces let go."""
+            h = np.concatenate(have[0])
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.diff(h, prepend=~h[0]))
+            have[0][:] = [h[first]]
+            for x in have[2:]:
+                x[:] = [np.add.reduceat(np.concatenate(x)[order], first)]
+            order = order[first]
+            have[1][:] = [pa.concat_arrays(have[1]).take(pa.array(order))]
+
+        def sent():
+            (h,), (word,), (n,), (train,) = have
+            for i in range(0, len(h), 100_000):
+                part = slice(i, i + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), word[part], pa.array(n[part]), pa.array(train[part])], ["h", "word", "n", "n_train"])
+            for x in have:
+                x.clear()
 
         for b in (p for batch in batches for p in parts(batch, limit=SLICE)):
             texts, starts, ends, bounds, h = _tokens(b.column("text"))
-            train = np.repeat(~np.array(b.column("held").to_pylist(), bool), np.diff(bounds))
-            u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            data = texts.data.tobytes()
-            word = np.array([data[i:j].decode() for i, j in zip(starts[first].tolist(), ends[first].tolist(), strict=True)], dtype=object)
-            have.append((u, word, np.bincount(inverse, minlength=len(u)), np.bincount(inverse, weights=train, minlength=len(u)).astype(np.int64)))
-            size += len(u)
-            if size > 150_000:
-                have = [merged()]
-                size = len(have[0][0])
-                if size > 100_000:
-                    yield batch(*have[0])
-                    have, size = [], 0
-        if have:
-            yield batch(*merged())
-
-    part = docs.select("text", "held").mapInArrow(run, "h long, word string, n long, n_train long")
+            if not len(h):
+                continue
+            train = np.repeat(~b.column("held").to_numpy(zero_copy_only=False), np.diff(bounds)).astype(np.int64)
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.diff(h, prepend=~h[0]))
+            word = _cut_out(texts.data, starts[order[first]], ends[order[first]])
+            for c, x in zip(have, (h[first], word, np.diff(first, append=len(h)), np.add.reduceat(train[order], first)), strict=True):
+                c.append(x)
+            size += word.nbytes + 24 * len(first)
+            if size > max(least, MERGE // 4):
+                merge()
+                least, size = have[1][0].nbytes + 24 * len(have[0][0]), 0
+                if least > MERGE:
+                    yield from sent()
+                    least = 0
+        if have[0]:
+            merge()
+            yield from sent()
+
+    part = docs.select("text", "held").mapInArrow(_released(run), "h long, word string, n long, n_train long")
     return part.groupBy("h").agg(F.first("word").alias("word"), F.sum("n").alias("n"), F.sum("n_train").alias("n_train"))
 
 
@@ -251,7 +293,7 @@ def class_counts(docs: DataFrame, classes: np.ndarray, ending_of: np.ndarray) ->
         for i in range(0, len(at), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(total[at[i : i + 100_000]])], ["pair", "n"])
 
-    cells = docs.filter("NOT held").select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    cells = docs.filter("NOT held").select("text").mapInArrow(_released(run), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return _dense(cells, "pair", (k, k))
 
 
@@ -658,8 +700,8 @@ def places(text, classes: np.ndarray, ending_of: np.ndarray) -> tuple:
 
 
 def _loads(load: int, n_parts: int, wide: bool, key, dish, prior, doc, train, numbers, sums):
-    """Rows of LOADS: the occurrences by the part of their context, and one row for the documents. Only the keys are put in
-    order as a whole; the rest is fetched part by part, and rows go out by a few."""
+    """Rows of LOADS: the occurrences by the part of their context, and one row for the documents. Only the order of
+    the keys is kept as a whole; all columns are fetched part by part, and rows go out by a few."""
     import pyarrow as pa
 
     kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -668,14 +710,13 @@ def _loads(load: int, n_parts: int, wide: bool, key, dish, prior, doc, train, nu
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in LOADS.split(", ")])
 
     order = np.argsort(key)
-    key = key[order]
     rows = [(load % n_parts, load, True, wide, numbers.shape[1], 0, _planes(*numbers), _planes(*sums))]
     # the least key of each part; parts share the 2 ** 32 upper halves of keys
-    edges = np.searchsorted(key, np.array([-(-(p << 32) // n_parts) << 32 for p in range(n_parts)], np.uint64)).tolist()
+    edges = np.searchsorted(key, np.array([-(-(p << 32) // n_parts) << 32 for p in range(n_parts)], np.uint64), sorter=order).tolist()
     for part, (i, j) in enumerate(pairwise([*edges, len(key)])):
         if i == j:
             continue
-        at, own = order[i:j], key[i:j]
+        at, own = order[i:j], key[order[i:j]]
         first = np.flatnonzero(np.diff(own, prepend=~own[0]))
         times = np.diff(first, append=j - i).astype(np.uint32)
         rows.append((part, load, False, wide, j - i, len(first), _planes(own[first], times, dish[at], prior[at], doc[at].astype(np.uint32), train[at].astype(np.uint8)), None))
@@ -757,14 +798,24 @@ def in_ranges(contexts: np.ndarray, dishes: np.ndarray, context: np.ndarray, dis
     return sums
 
 
+def key_ranges(keys: list, times: list, most: int) -> np.ndarray:
+    """The first keys of all ranges but the least: a range has most occurrences or a few more, or one key that has more.
+    keys, times: the contexts of each load and their occurrences."""
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    key, so_far = key[order], np.cumsum(np.concatenate(times)[order], dtype=np.int64)
+    return np.unique(key[np.searchsorted(so_far, np.arange(most, so_far[-1], most), side="right")])
+
+
 def seated(loads: DataFrame, n_parts: int, tables, sweeps: int, burn: int, seed: int) -> DataFrame:
-    """ANSWERS to LOADS: a task has all occurrences of its contexts."""
+    """ANSWERS to LOADS: a task has all occurrences of its contexts. It keeps them by load as they came (in order of their
+    contexts), and puts together those of a range of contexts at a time."""
 
     def run(batches):
         import pyarrow as pa
 
         common_h, common_score, common_class, log_pairs = tables.value[:4]
-        columns, others, loads, n_docs = [[] for _ in range(6)], [np.zeros(0, np.uint64)], [], 0
+        have, others, n_docs = [], [np.zeros(0, np.uint64)], 0
         names = [x.split()[0] for x in ANSWERS.split(", ")]
         for b in batches:
             whole = b.filter(b.column("whole"))
@@ -775,33 +826,43 @@ def seated(loads: DataFrame, n_parts: int, tables, sweeps: int, burn: int, seed:
                 kinds = ("u8", n), ("f8", n)
                 key, times, dish, prior, doc, train = _from_planes(b.column("data")[i].as_buffer(), ("u8", n_keys), ("u4", n_keys), *(kinds if wide else (("i4", n), ("i4", n))), ("u4", n), ("u1", n))
                 if wide:
-                    others.append(dish)
-                    dish = np.full(n, -1, np.int32)
-                else:
-                    prior = log_pairs[prior, common_class[dish]] + common_score[dish]
+                    own, dish = np.unique(dish, return_inverse=True)
+                    others.append(own)
                 docs, doc = np.unique(doc, return_inverse=True)
-                loads.append((load, docs))
-                for c, x in zip(columns, (key, times, dish, prior, (doc + n_docs).astype(np.int32), train), strict=True):
-                    c.append(x)
+                have.append([load, docs, key, times, len(others) - 1 if wide else 0, dish.astype(np.int32), prior, (doc + n_docs).astype(np.int32), train.astype(bool)])  # a copy: single bytes are a view of all that was unpacked
                 n_docs += len(docs)
-        if not loads:
+        if not have:
             return
-        while len(columns) > 0 and isinstance(columns[0], list):  # each column's pieces are let go before the next is joined
-            columns.append(np.concatenate(columns.pop(0)))
-        key, times, dish, prior, doc, train = columns
-        contexts, place = np.unique(key, return_inverse=True)
-        context = np.repeat(place.astype(np.int32), times)
-        others, of = np.unique(np.concatenate(others), return_inverse=True)
-        dish[dish < 0] = len(common_h) + of
-        del key, times, place, of
-        sums = in_ranges(contexts, np.append(common_h, others), context, dish, prior, train, doc, sweeps, burn, seed)
+        sums, most = np.zeros(n_docs), DEAL // 4
+        wide_h = np.unique(np.concatenate(others))
+        for x in have:
+            if x[4]:
+                x[5] = (len(common_h) + np.searchsorted(wide_h, others[x[4]])).astype(np.int32)[x[5]]
+        dishes = np.append(common_h, wide_h)
+        edges = key_ranges([x[2] for x in have], [x[3] for x in have], most)
+        at = [np.concatenate([[0], np.searchsorted(x[2], edges), [len(x[2])]]) for x in have]  # the ranges' contexts in each load
+        ends = [np.concatenate([[0], np.cumsum(x[3], dtype=np.int64)]) for x in have]
+        for r in range(len(edges) + 1):
+            keys, pieces = [], []
+            for (_, _, key, times, wide, *columns), own, end in zip(have, at, ends, strict=True):
+                i, j = own[r], own[r + 1]
+                if i == j:
+                    continue
+                dish, prior, doc, train = (c[end[i] : end[j]] for c in columns)
+                keys.append((key[i:j], times[i:j]))
+                pieces.append((dish, prior if wide else log_pairs[prior, common_class[dish]] + common_score[dish], doc, train))
+            key, times = map(np.concatenate, zip(*keys, strict=True))
+            contexts, place = np.unique(key, return_inverse=True)
+            dish, prior, doc, train = map(np.concatenate, zip(*pieces, strict=True))
+            own = in_ranges(contexts, dishes, np.repeat(place.astype(np.int32), times), dish, prior, train, doc, sweeps, burn, seed)
+            sums[: len(own)] += own
         end = 0
-        for load, docs in loads:
+        for load, docs, *_ in have:
             row = load, False, len(docs), _planes(docs), sums[end : end + len(docs)].tobytes()
             end += len(docs)
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names)
 
-    return loads.repartitionById(n_parts, "part").mapInArrow(run, ANSWERS)
+    return loads.repartitionById(n_parts, "part").mapInArrow(_released(run), ANSWERS)
 
 
 def added_up(answers: DataFrame) -> DataFrame:
@@ -966,9 +1027,9 @@ def score(docs: DataFrame, class_bits: int = 11, common_bits: int = 20, spelling
         if have.n:
             yield from flushed()
 
-    rest = docs.select("text", "held", "doc").mapInArrow(others, "h long, doc long, held boolean, context long, prior double").join(rated_words.drop("e"), "h")
+    rest = docs.select("text", "held", "doc").mapInArrow(_released(others), "h long, doc long, held boolean, context long, prior double").join(rated_words.drop("e"), "h")
     rest = rest.sortWithinPartitions("doc", "h", "context", "prior")  # loads are the same if a task runs again
-    loads = docs.select("text", "held", "doc").mapInArrow(dealt, LOADS).unionByName(rest.mapInArrow(rated_others, LOADS))
+    loads = docs.select("text", "held", "doc").mapInArrow(_released(dealt), LOADS).unionByName(rest.mapInArrow(_released(rated_others), LOADS))
     sums = added_up(seated(loads, n_parts, tables, sweeps, burn, seed)).groupBy("doc").agg(
         F.count_if(F.col("n_tokens") > 0).alias("rows"),  # equal rows are added up
         *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "points")),
